@@ -21,63 +21,82 @@ def _check(mode: str) -> None:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 
+def _md5(text: Column) -> Column:
+    return F.md5(text.cast("binary"))
+
+
 def _prefixed(text: Column) -> Column:
-    return F.concat(F.lit(fixed.KEY_PREFIX), F.md5(text.cast("binary")))
+    return F.concat(F.lit(fixed.KEY_PREFIX), _md5(text))
 
 
 def series_key(
-    metric_raw: Column, pairs: Column, folded: Column, mode: str = "exact"
+    metric_raw: Column, pairs: Column, entries: Column, mode: str = "exact"
 ) -> Column:
     """Key of a remote series from its raw name and its labels.
 
-    ``pairs`` are the labels in arrival order, ``folded`` the same as a map;
-    values are not cut, so long values stay apart.
+    ``pairs`` keep arrival order, ``entries`` are unique and sorted; values
+    are not cut, so long values stay apart.
     """
     _check(mode)
     if mode == "compat":
-        values = F.transform(pairs, lambda p: F.coalesce(p["value"], F.lit("")))
-        return _prefixed(F.concat(metric_raw, F.array_join(values, "")))
-    whole = F.struct(
-        metric_raw.alias("metric"), L.sorted_entries(folded).alias("labels")
+        return _prefixed(F.concat(metric_raw, F.array_join(pairs["value"], "")))
+    return _md5(
+        F.to_json(F.struct(metric_raw.alias("metric"), entries.alias("labels")))
     )
-    return F.md5(F.to_json(whole).cast("binary"))
 
 
 def agent_series_key(
     name: Column,
     tags: Column,
-    folded: Column,
+    entries: Column,
     source: Column,
     field: Column,
     mode: str = "exact",
 ) -> Column:
     """Key of an agent series: measurement, tags, source address and field.
 
-    ``compat`` hashes the raw sorted tag values, ``exact`` the escaped tags.
+    ``compat`` hashes the raw sorted tag values, ``exact`` the stored names
+    with their whole values.
     """
     _check(mode)
     if mode == "compat":
-        values = F.coalesce(F.sort_array(F.map_values(tags)), F.array().cast("array<string>"))
-        return _prefixed(F.concat(name, F.array_join(values, ""), source, field))
-    whole = F.struct(
-        name.alias("name"),
-        L.sorted_entries(folded).alias("tags"),
-        source.alias("source"),
-        field.alias("field"),
+        values = F.array_join(F.sort_array(F.map_values(tags)), "")
+        return _prefixed(F.concat(name, F.coalesce(values, F.lit("")), source, field))
+    return _md5(
+        F.to_json(
+            F.struct(
+                name.alias("name"),
+                entries.alias("tags"),
+                source.alias("source"),
+                field.alias("field"),
+            )
+        )
     )
-    return F.md5(F.to_json(whole).cast("binary"))
 
 
 def tag_hash(
     pairs: Column,
+    entries: Column,
     tag_bytes: int = fixed.TAG_VALUE_BYTES,
     tag_limit: int = fixed.TAGS_PER_SERIES,
 ) -> Column:
-    """md5 of the values in label-name order; only counted labels are cut."""
+    """md5 of the values in label-name order; only counted labels are cut.
 
-    def cut(value: Column, position: Column) -> Column:
-        return F.when(position < tag_limit, truncate_bytes(value, tag_bytes)).otherwise(value)
+    ``pairs`` are the renamed pairs and ``entries`` the same unique and sorted.
+    """
 
-    entries = L.sorted_entries(L.fold_pairs(pairs, revalue=cut))
-    values = F.transform(entries, lambda entry: entry["value"])
-    return F.md5(F.array_join(values, "").cast("binary"))
+    def cut(value: Column) -> Column:
+        return truncate_bytes(value, tag_bytes)
+
+    counted = F.transform(entries, lambda p: cut(p["value"]))
+    over = L.entries(
+        F.transform(
+            pairs,
+            lambda p, i: L.pair(
+                p["name"],
+                F.when(i < tag_limit, cut(p["value"])).otherwise(p["value"]),
+            ),
+        )
+    )["value"]
+    values = F.when(F.size(pairs) <= tag_limit, counted).otherwise(over)
+    return _md5(F.array_join(values, ""))

@@ -1,4 +1,9 @@
-"""Label sets: arrays of ``struct(name, value)`` in, maps of stored tags out."""
+"""Label sets.
+
+``pairs`` are a series' labels in arrival order, ``entries`` the same labels
+renamed, unique and in byte order of the name. Both are arrays of
+``struct(name, value)``; a map is only made at rest.
+"""
 
 from __future__ import annotations
 
@@ -16,51 +21,44 @@ def _text(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
+def pair(name: Column, value: Column) -> Column:
+    """One label."""
+    return F.struct(name.alias("name"), value.alias("value"))
+
+
 def metric_name(labels: Column) -> Column:
     """Value of the name label, null when the series has none."""
-    named = F.filter(labels, lambda pair: pair["name"] == fixed.NAME_LABEL)
+    named = F.filter(labels, lambda p: p["name"] == fixed.NAME_LABEL)
     return F.try_element_at(named, F.lit(-1))["value"]
 
 
 def tag_pairs(labels: Column) -> Column:
     """Every label but the name, in arrival order; absent text reads as empty."""
-    tags = F.filter(labels, lambda pair: _text(pair["name"]) != fixed.NAME_LABEL)
+    tags = F.filter(labels, lambda p: _text(p["name"]) != fixed.NAME_LABEL)
     return F.coalesce(tags, F.array().cast(PAIRS))
 
 
-def fold_pairs(
-    pairs: Column,
-    rename: Callable[[Column], Column] = F.lower,
-    revalue: Callable[[Column, Column], Column] | None = None,
-) -> Column:
-    """Map of renamed labels; of labels that fold together the last one wins.
-
-    ``revalue(value, position)`` may rewrite a value by its arrival position.
-    """
-
-    def folded(pair: Column, position: Column) -> Column:
-        value = _text(pair["value"])
-        if revalue is not None:
-            value = revalue(value, position)
-        return F.struct(
-            rename(_text(pair["name"])).alias("name"), value.alias("value")
-        )
-
-    return last_wins(F.transform(pairs, folded))
+def renamed(pairs: Column, rename: Callable[[Column], Column] = F.lower) -> Column:
+    """Pairs with stored names; repeated names are still there."""
+    return F.transform(
+        pairs, lambda p: pair(rename(_text(p["name"])), _text(p["value"]))
+    )
 
 
-def last_wins(pairs: Column) -> Column:
-    """``map_from_entries`` that keeps the last value of a repeated name."""
-    names = F.transform(pairs, lambda pair: pair["name"])
+def entries(pairs: Column) -> Column:
+    """Unique pairs in name order; of a repeated name the last value wins."""
+    names = pairs["name"]
     unique = F.array_distinct(names)
 
-    def last_value(name: Column) -> Column:
-        same = F.filter(pairs, lambda pair: pair["name"] == name)
-        return F.element_at(same, -1)["value"]
+    def last(name: Column) -> Column:
+        same = F.filter(pairs, lambda p: p["name"] == name)
+        return pair(name, F.element_at(same, -1)["value"])
 
-    return F.when(
-        F.size(unique) == F.size(names), F.map_from_entries(pairs)
-    ).otherwise(F.map_from_arrays(unique, F.transform(unique, last_value)))
+    return F.sort_array(
+        F.when(F.size(unique) == F.size(names), pairs).otherwise(
+            F.transform(unique, last)
+        )
+    )
 
 
 def cap_labels(pairs: Column, limit: int = fixed.TAGS_PER_SERIES) -> Column:
@@ -73,34 +71,30 @@ def sanitise_quotes(value: Column) -> Column:
     return F.replace(value, F.lit('"'), F.lit("'"))
 
 
-def stored_tags(
+def stored_entries(
     pairs: Column,
+    folded: Column,
     tag_bytes: int = fixed.TAG_VALUE_BYTES,
     tag_limit: int = fixed.TAGS_PER_SERIES,
 ) -> Column:
-    """Tags as stored for a remote series: folded, capped, cut and unquoted.
+    """Entries as stored for a remote series: capped, cut and unquoted.
 
-    The cap picks names by arrival order; the value of a picked name is still
-    the last one the whole label set gives it.
+    ``pairs`` are the renamed pairs and ``folded`` their entries. The cap picks
+    names by arrival order; a picked name keeps its last value.
     """
-    folded = fold_pairs(pairs)
-    kept_names = F.transform(
-        cap_labels(pairs, tag_limit), lambda pair: F.lower(_text(pair["name"]))
-    )
+    first_names = cap_labels(pairs, tag_limit)["name"]
     capped = F.when(F.size(pairs) <= tag_limit, folded).otherwise(
-        F.map_filter(folded, lambda name, _: F.array_contains(kept_names, name))
+        F.filter(folded, lambda p: F.array_contains(first_names, p["name"]))
     )
-    return F.transform_values(
-        capped, lambda _, value: sanitise_quotes(truncate_bytes(value, tag_bytes))
+    return F.transform(
+        capped,
+        lambda p: pair(
+            p["name"], sanitise_quotes(truncate_bytes(p["value"], tag_bytes))
+        ),
     )
 
 
-def sorted_entries(tags: Column) -> Column:
-    """Entries of a tag map in byte order of the name, shorter prefix first."""
-    return F.sort_array(F.map_entries(tags))
-
-
 def to_label_pairs(metric: Column, tags: Column) -> Column:
     """Label set of a stored series as answered to a read: the name, then tags."""
-    name = F.struct(F.lit(fixed.NAME_LABEL).alias("name"), metric.alias("value"))
-    return F.concat(F.array(name), sorted_entries(tags).cast(PAIRS))
+    name = pair(F.lit(fixed.NAME_LABEL), metric)
+    return F.concat(F.array(name), F.sort_array(F.map_entries(tags)).cast(PAIRS))

@@ -14,16 +14,18 @@ shuffle, window or whole-file row is needed.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metricloom import fixed
-from metricloom.functions import labels as L
+from metricloom.sources.remote import SERIES_ARRAY
 
 # The parts of a record.
-_SAMPLE = r"^\s*Ts: (-?\d+), value: ([^,\s]+),"
-_LABEL_LINE = r"(\S+) \Q{marker}\E (.*)"
-_METRIC = r"^([^{{]*)"
-_LABEL = r'([^\s,{}="]+)="((?:[^"\\]|\\.)*)"'
+SAMPLE = r"^\s*Ts: (-?\d+), value: ([^,\s]+),"
+LABEL_LINE = r"(\S+) {marker} ([^\r\n]*)"
+METRIC = r"^([^{]*)"
+LABEL = r'([^\s,{}="]+)="((?:[^"\\]|\\.)*)"'
 
 
 def read_metric_log(
@@ -32,16 +34,43 @@ def read_metric_log(
     value_marker: str = fixed.LOG_VALUE_MARKER,
     label_marker: str = fixed.LOG_LABEL_MARKER,
 ) -> DataFrame:
-    """One remote-write request per logged series, with the line's ``log_time``."""
-    records = spark.read.option("lineSep", value_marker).text(path)
-    label_line = _LABEL_LINE.replace("{marker}", label_marker)
-    lines = records.select(
-        F.try_to_number(F.nullif(F.regexp_extract("value", _SAMPLE, 1), F.lit("")), F.lit("S9999999999999999999"))
-        .cast("bigint")
-        .alias("ms"),
-        F.regexp_extract("value", _SAMPLE, 2).alias("number"),
-        F.explode_outer(
-            F.regexp_extract_all("value", F.lit(label_line), F.lit(0))
-        ).alias("line"),
-    ).where("ms is not null and line is not null")
-    return lines
+    """One write request per logged sample, with the label line's ``log_time``.
+
+    A value line that no label line follows gives a series without a name,
+    which normalisation rejects with a reason.
+    """
+    label_line = LABEL_LINE.replace("{marker}", re.escape(label_marker))
+    lines = (
+        spark.read.option("lineSep", value_marker)
+        .text(path)
+        .select(
+            F.regexp_extract("value", SAMPLE, 1).try_cast("bigint").alias("ms"),
+            F.regexp_extract("value", SAMPLE, 2).try_cast("double").alias("number"),
+            F.regexp_extract_all("value", F.lit(label_line), F.lit(0)).alias("lines"),
+        )
+        .where("ms is not null")
+        .select("ms", "number", F.explode_outer("lines").alias("line"))
+        .select(
+            "ms",
+            "number",
+            F.regexp_extract("line", label_line, 1).alias("log_time"),
+            F.regexp_extract("line", label_line, 2).alias("series"),
+        )
+    )
+    name = F.trim(F.regexp_extract("series", METRIC, 1))
+    tags = F.arrays_zip(
+        F.regexp_extract_all("series", F.lit(LABEL), F.lit(1)).alias("name"),
+        F.regexp_extract_all("series", F.lit(LABEL), F.lit(2)).alias("value"),
+    )
+    named = F.array(
+        F.struct(F.lit(fixed.NAME_LABEL).alias("name"), name.alias("value"))
+    )
+    entry = F.struct(
+        F.when(F.col("line_found"), F.concat(named, tags)).alias("labels"),
+        F.array(
+            F.struct(F.col("number").alias("value"), F.col("ms").alias("timestamp"))
+        ).alias("samples"),
+    )
+    return lines.withColumn("line_found", F.col("series").isNotNull()).select(
+        "log_time", F.array(entry).cast(SERIES_ARRAY).alias("timeseries")
+    )
