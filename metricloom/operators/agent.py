@@ -148,6 +148,11 @@ def normalise_batches(
         ),
         series=distinct_series(good, keep_first=key_mode == "compat"),
         rejected=rejects(rows, SOURCE, payload),
+        counts={
+            "points": F.count_if(F.col("kind") == values.NUMBER),
+            "text_points": F.count_if(F.col("kind") == values.TEXT),
+            "rejected": F.count("reason"),
+        },
     )
 
 

@@ -12,13 +12,17 @@ SERIES_IDENTITY = ["source", "kind", "metric", "metric_raw", "series_key", "tagh
 
 @dataclass(frozen=True)
 class Batch:
-    """Outputs of one batch; all four are views of the same ``rows``."""
+    """Outputs of one batch, all views of the same ``rows``.
+
+    ``counts`` are aggregates over ``rows`` that report what the batch held.
+    """
 
     rows: DataFrame
     points: DataFrame
     text_points: DataFrame | None
     series: DataFrame
     rejected: DataFrame
+    counts: dict[str, Column]
 
 
 def distinct_series(rows: DataFrame, keep_first: bool = False) -> DataFrame:

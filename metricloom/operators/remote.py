@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from metricloom import fixed
 from metricloom.functions import identity, labels as L, names, values
@@ -63,6 +63,11 @@ def identify_series(
     )
 
 
+def _stored_samples(first_only: bool) -> Column:
+    size = F.coalesce(F.size("samples"), F.lit(0))
+    return F.least(size, F.lit(1)) if first_only else size
+
+
 def explode_samples(rows: DataFrame, first_only: bool = False) -> DataFrame:
     """Points of identified series: every sample, or the first of each series."""
     samples = F.slice("samples", 1, 1) if first_only else F.col("samples")
@@ -98,4 +103,11 @@ def normalise_requests(
         text_points=None,
         series=distinct_series(good, keep_first=key_mode == "compat"),
         rejected=rejects(rows, SOURCE, payload),
+        counts={
+            "points": F.coalesce(
+                F.sum(F.when(F.col("reason").isNull(), _stored_samples(first_only))),
+                F.lit(0),
+            ),
+            "rejected": F.count("reason"),
+        },
     )
