@@ -13,7 +13,8 @@ class IngestOptions:
 
     ``batch_size`` bounds the files a micro-batch takes. ``key_mode`` is
     ``exact`` or ``compat``; ``first_only`` stores only the first sample of
-    each incoming series.
+    each incoming series. A batch that arrives in fewer than ``min_tasks``
+    splits is spread over that many tasks before it is parsed.
     """
 
     namespace: str = fixed.REMOTE_NAMESPACE
@@ -22,6 +23,7 @@ class IngestOptions:
     tag_limit: int = fixed.TAGS_PER_SERIES
     key_mode: str = "exact"
     first_only: bool = False
+    min_tasks: int = 8
 
     @classmethod
     def for_agent(cls, **changes) -> IngestOptions:

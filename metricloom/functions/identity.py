@@ -45,35 +45,31 @@ def series_key(
     )
 
 
-def agent_series_key(
-    name: Column,
-    tags: Column,
-    entries: Column,
-    source: Column,
-    field: Column,
-    mode: str = "exact",
+def agent_origin(
+    name: Column, tags: Column, entries: Column, source: Column, mode: str = "exact"
 ) -> Column:
-    """Key of an agent series: measurement, tags, source address and field.
+    """The part of an agent key that all fields of a measurement share.
 
-    ``compat`` hashes the raw sorted tag values, ``exact`` the stored names
-    with their whole values.
+    ``compat`` takes the raw sorted tag values, ``exact`` the stored names with
+    their whole values as a JSON object. An object's text ends where it closes,
+    so a field name put after it cannot be taken for a part of it.
     """
     _check(mode)
     if mode == "compat":
         values = F.array_join(F.sort_array(F.map_values(tags)), "")
-        return _prefixed(F.concat(name, F.coalesce(values, F.lit("")), source, field))
-    return _md5(
-        F.to_json(
-            F.struct(
-                name.alias("name"),
-                entries.alias("tags"),
-                source.alias("source"),
-                field.alias("field"),
-            )
-        )
+        return F.concat(name, F.coalesce(values, F.lit("")), source)
+    return F.to_json(
+        F.struct(name.alias("name"), entries.alias("tags"), source.alias("source"))
     )
 
 
+def agent_series_key(origin: Column, field: Column, mode: str = "exact") -> Column:
+    """Key of an agent series from ``agent_origin`` and the field name."""
+    _check(mode)
+    text = F.concat(origin, field)
+    return _prefixed(text) if mode == "compat" else _md5(text)
+
+
 def tag_hash(
     pairs: Column,
     entries: Column,

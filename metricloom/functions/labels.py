@@ -7,8 +7,6 @@ renamed, unique and in byte order of the name. Both are arrays of
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
 from metricloom import fixed
@@ -38,10 +36,10 @@ def tag_pairs(labels: Column) -> Column:
     return F.coalesce(tags, F.array().cast(PAIRS))
 
 
-def renamed(pairs: Column, rename: Callable[[Column], Column] = F.lower) -> Column:
-    """Pairs with stored names; repeated names are still there."""
+def renamed(pairs: Column) -> Column:
+    """Remote pairs with stored names; repeated names are still there."""
     return F.transform(
-        pairs, lambda p: pair(rename(_text(p["name"])), _text(p["value"]))
+        pairs, lambda p: pair(F.lower(_text(p["name"])), _text(p["value"]))
     )
 
 

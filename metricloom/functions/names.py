@@ -10,15 +10,15 @@ from metricloom import fixed
 def truncate_bytes(value: Column, limit: int) -> Column:
     """Keep at most ``limit`` UTF-8 bytes, never half a character.
 
-    A cut may fall inside a character of up to four bytes, so the longest of
-    the four candidate cuts that is valid UTF-8 is the answer.
+    A cut inside a character leaves one broken sequence at the end, which
+    reads as a single replacement character and is dropped.
     """
-    raw = value.cast("binary")
-    cuts = [
-        F.try_validate_utf8(F.substring(raw, 1, limit - back).cast("string"))
-        for back in range(min(4, limit + 1))
-    ]
-    return F.when(F.octet_length(value) <= limit, value).otherwise(F.coalesce(*cuts))
+    cut = F.substring(value.cast("binary"), 1, limit).cast("string")
+    mended = F.make_valid_utf8(cut)
+    whole = F.when(F.is_valid_utf8(cut), cut).otherwise(
+        F.left(mended, F.length(mended) - 1)
+    )
+    return F.when(F.octet_length(value) <= limit, value).otherwise(whole)
 
 
 def _underscored(name: Column) -> Column:
@@ -30,19 +30,32 @@ def escape_metric(name: Column) -> Column:
     return truncate_bytes(_underscored(name), fixed.METRIC_NAME_BYTES)
 
 
-def escape_agent_name(name: Column, kind: str = "table") -> Column:
-    """Stored name of an agent measurement (``table``) or tag key (``tag``)."""
-    limits = {"table": fixed.AGENT_TABLE_BYTES, "tag": fixed.AGENT_TAG_NAME_BYTES}
-    if kind not in limits:
-        raise ValueError(f"kind must be 'table' or 'tag', not {kind!r}")
-    plain = _underscored(F.lower(name))
-    needs_mark = plain.rlike(r"^\p{Nd}") | plain.isin(*fixed.RESERVED_WORDS)
-    escaped = (
+def _unreserved(plain: Column) -> Column:
+    needs_mark = plain.isin(*fixed.RESERVED_WORDS) | plain.rlike(r"^\p{Nd}")
+    return (
         F.when(plain == "", F.lit("__"))
         .when(needs_mark, F.concat(F.lit("_"), plain))
         .otherwise(plain)
     )
-    return truncate_bytes(escaped, limits[kind])
+
+
+def escape_agent_table(name: Column) -> Column:
+    """Stored name of an agent measurement."""
+    escaped = _unreserved(_underscored(F.lower(name)))
+    return truncate_bytes(escaped, fixed.AGENT_TABLE_BYTES)
+
+
+def escape_agent_tags(names: Column) -> Column:
+    """Stored names of an array of agent tag keys.
+
+    Each step is its own ``transform``, so a step's result is made once per
+    name however often the next step looks at it.
+    """
+    plain = F.transform(names, lambda name: _underscored(F.lower(name)))
+    escaped = F.transform(plain, _unreserved)
+    return F.transform(
+        escaped, lambda name: truncate_bytes(name, fixed.AGENT_TAG_NAME_BYTES)
+    )
 
 
 def tag_column(label: str) -> str:

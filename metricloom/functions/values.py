@@ -9,9 +9,8 @@ TEXT = "string"
 
 
 def finite_or_null(value: Column) -> Column:
-    """NaN and both infinities are stored as null."""
-    infinite = F.abs(value) == float("inf")
-    return F.when(~F.isnan(value) & ~infinite, value)
+    """NaN and both infinities are stored as null (NaN sorts above infinity)."""
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def to_ts(millis: Column) -> Column:
@@ -31,8 +30,9 @@ def field_kind(variant: Column) -> Column:
     into 1.0 and the text "7" into 7.0.
     """
     shape = F.schema_of_variant(variant)
-    numeric = shape.isin("BIGINT", "DOUBLE", "FLOAT") | shape.startswith("DECIMAL")
-    return F.when(shape == "STRING", F.lit(TEXT)).when(numeric, F.lit(NUMBER))
+    return F.when(shape.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(NUMBER)).when(
+        shape == "STRING", F.lit(TEXT)
+    )
 
 
 def field_number(variant: Column) -> Column:

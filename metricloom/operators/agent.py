@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from metricloom import fixed
 from metricloom.functions import identity, labels as L, names, values
-from metricloom.operators.batch import Batch, distinct_series, persisted, rejects
+from metricloom.operators.batch import Batch, distinct_series, rejects
 from metricloom.sources.remote import CORRUPT
 
 SOURCE = "agent"
@@ -14,13 +14,16 @@ SOURCE = "agent"
 
 def explode_metrics(batches: DataFrame) -> DataFrame:
     """One row per measurement of each batch, plus one per malformed batch."""
+    # "corrupt" is made to depend on the exploded column: a filter on it then
+    # stays above the explode and never makes the JSON be parsed twice.
     corrupt = F.col(CORRUPT) if CORRUPT in batches.columns else F.lit(None).cast("string")
     return (
         batches.select(
             F.coalesce(F.col(fixed.SOURCE_TAG), F.lit("")).alias("srcip"),
-            corrupt.alias("corrupt"),
+            corrupt.alias("text"),
             F.explode_outer("metrics").alias("m"),
         )
+        .withColumn("corrupt", F.when(F.col("m").isNull(), F.col("text")))
         .where("m is not null or corrupt is not null")
         .select(
             "srcip",
@@ -53,109 +56,103 @@ def route_fields(fields: DataFrame) -> DataFrame:
             "reason": reason,
             "value": values.finite_or_null(number),
             "text": F.when(kind == values.TEXT, values.field_text(v)),
-            "raw_value": F.when(kind.isNull(), F.to_json("v")),
         }
     )
 
 
-def agent_tag(name: Column) -> Column:
-    """Stored name of an agent tag key."""
-    return names.escape_agent_name(name, "tag")
-
-
 def identify_fields(metrics: DataFrame, key_mode: str = "exact") -> DataFrame:
     """Typed field rows of measurements, named and keyed.
 
-    Tag names are escaped and folded once per measurement, before its fields
-    are exploded; only the key and the two origin tags are made per field.
+    Names, tags and the shared part of the key are made once per measurement,
+    before its fields are exploded.
     """
-    raw_pairs = F.coalesce(F.map_entries("tags"), F.array()).cast(L.PAIRS)
+    pairs = F.arrays_zip(
+        names.escape_agent_tags(F.map_keys("tags")).alias("name"),
+        F.map_values("tags").alias("value"),
+    ).cast(L.PAIRS)
+    reserved = [fixed.SOURCE_TAG, fixed.FIELD_TAG]
     named = (
-        metrics.withColumn("pairs", L.renamed(raw_pairs, agent_tag))
+        metrics.withColumn("pairs", F.coalesce(pairs, F.array().cast(L.PAIRS)))
         .withColumn("folded", L.entries(F.col("pairs")))
         .withColumns(
             {
-                "metric": names.escape_agent_name(F.col("name"), "table"),
-                "cut": F.transform(
-                    "folded",
-                    lambda p: L.pair(
-                        p["name"],
-                        names.truncate_bytes(p["value"], fixed.AGENT_TAG_VALUE_BYTES),
+                "metric": names.escape_agent_table(F.col("name")),
+                "origin": identity.agent_origin(
+                    F.col("name"), F.col("tags"), F.col("folded"), F.col("srcip"), key_mode
+                ),
+                "stored": F.concat(
+                    F.transform(
+                        F.filter("folded", lambda p: ~p["name"].isin(*reserved)),
+                        lambda p: L.pair(
+                            p["name"],
+                            names.truncate_bytes(p["value"], fixed.AGENT_TAG_VALUE_BYTES),
+                        ),
                     ),
+                    F.array(L.pair(F.lit(fixed.SOURCE_TAG), F.col("srcip"))),
                 ),
             }
         )
-        .drop("pairs")
-    )
-    origin = F.array(
-        L.pair(F.lit(fixed.SOURCE_TAG), F.col("srcip")),
-        L.pair(F.lit(fixed.FIELD_TAG), F.col("field")),
+        .drop("pairs", "folded", "tags")
     )
-    rows = route_fields(explode_fields(named)).withColumn(
-        "with_origin", F.concat("cut", origin)
+    field_tag = F.array(L.pair(F.lit(fixed.FIELD_TAG), F.col("field")))
+    payload = F.coalesce(
+        F.col("corrupt"),
+        F.to_json(
+            F.struct(
+                "name",
+                F.map_from_entries("stored").alias("tags"),
+                "field",
+                F.to_json("v").alias("value"),
+                "timestamp",
+            )
+        ),
     )
-    return rows.select(
+    return route_fields(explode_fields(named)).select(
         F.lit(SOURCE).alias("source"),
         "kind",
         "metric",
         F.col("name").alias("metric_raw"),
-        identity.agent_series_key(
-            F.col("name"),
-            F.col("tags"),
-            F.col("folded"),
-            F.col("srcip"),
-            F.col("field"),
-            key_mode,
-        ).alias("series_key"),
+        identity.agent_series_key(F.col("origin"), F.col("field"), key_mode).alias(
+            "series_key"
+        ),
         F.lit(None).cast("string").alias("taghash"),
-        L.entries(F.col("with_origin")).alias("entries"),
+        F.concat("stored", field_tag).alias("entries"),
         values.to_ts(F.col("timestamp")).alias("ts"),
         "value",
         "text",
         "reason",
-        "field",
-        "raw_value",
-        "corrupt",
+        F.when(F.col("reason").isNotNull(), payload).alias("payload"),
     )
 
 
-def normalise_batches(
-    batches: DataFrame, key_mode: str = "exact", keep: bool = False
-) -> Batch:
-    """Numeric and text points, series and rejects of agent ``batches``."""
-    rows = identify_fields(explode_metrics(batches), key_mode)
-    rows = persisted(rows) if keep else rows
-    good = rows.where(F.col("reason").isNull())
-    payload = F.coalesce(
-        F.col("corrupt"),
-        F.to_json(
-            F.struct(
-                F.col("metric_raw").alias("name"),
-                F.map_from_entries("entries").alias("labels"),
-                "field",
-                F.col("raw_value").alias("value"),
-                values.to_ms(F.col("ts")).alias("timestamp"),
-            )
-        ),
-    )
+def batch_of(rows: DataFrame, key_mode: str = "exact") -> Batch:
+    """Numeric and text points, series and rejects of identified fields."""
+    kind = F.col("kind")
     return Batch(
         rows=rows,
-        points=good.where(F.col("kind") == values.NUMBER).select(
+        points=rows.where(kind == values.NUMBER).select(
             "metric", "series_key", "ts", "value"
         ),
-        text_points=good.where(F.col("kind") == values.TEXT).select(
+        text_points=rows.where(kind == values.TEXT).select(
             "metric", "series_key", "ts", F.col("text").alias("value")
         ),
-        series=distinct_series(good, keep_first=key_mode == "compat"),
-        rejected=rejects(rows, SOURCE, payload),
+        series=distinct_series(
+            rows.where(kind.isNotNull()), keep_first=key_mode == "compat"
+        ),
+        rejected=rejects(rows),
         counts={
-            "points": F.count_if(F.col("kind") == values.NUMBER),
-            "text_points": F.count_if(F.col("kind") == values.TEXT),
+            "points": F.count_if(kind == values.NUMBER),
+            "text_points": F.count_if(kind == values.TEXT),
             "rejected": F.count("reason"),
         },
     )
 
 
+def normalise_batches(batches: DataFrame, key_mode: str = "exact") -> Batch:
+    """Numeric and text points, series and rejects of agent ``batches``."""
+    return batch_of(identify_fields(explode_metrics(batches), key_mode), key_mode)
+
+
 def batch_groups(metrics: DataFrame) -> DataFrame:
     """Measurements per ``(timestamp, name)`` of the stream of batches.
 

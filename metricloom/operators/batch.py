@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 SERIES_IDENTITY = ["source", "kind", "metric", "metric_raw", "series_key", "taghash"]
@@ -46,13 +45,6 @@ def distinct_series(rows: DataFrame, keep_first: bool = False) -> DataFrame:
     )
 
 
-def rejects(rows: DataFrame, source: str, payload: Column) -> DataFrame:
-    """Rows with a ``reason``, as ``(source, reason, payload)``."""
-    return rows.where(F.col("reason").isNotNull()).select(
-        F.lit(source).alias("source"), "reason", payload.alias("payload")
-    )
-
-
-def persisted(rows: DataFrame) -> DataFrame:
-    """``rows`` kept for the several writes of one batch; spills to disk."""
-    return rows.persist(StorageLevel.MEMORY_AND_DISK)
+def rejects(rows: DataFrame) -> DataFrame:
+    """Rows that cannot be stored, as ``(source, reason, payload)``."""
+    return rows.where(F.col("reason").isNotNull()).select("source", "reason", "payload")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from metricloom import fixed
 from metricloom.functions import identity, labels as L, names, values
-from metricloom.operators.batch import Batch, distinct_series, persisted, rejects
+from metricloom.operators.batch import Batch, distinct_series, rejects
 from metricloom.sources.remote import CORRUPT
 
 SOURCE = "remote"
@@ -25,9 +25,13 @@ def identify_series(
     set on rows that cannot be stored.
     """
     corrupt = F.col(CORRUPT) if CORRUPT in requests.columns else F.lit(None).cast("string")
-    series = requests.select(
-        corrupt.alias("corrupt"), F.explode_outer("timeseries").alias("s")
-    ).where("s is not null or corrupt is not null")
+    # "corrupt" is made to depend on the exploded column: a filter on it then
+    # stays above the explode and never makes the JSON be parsed twice.
+    series = (
+        requests.select(corrupt.alias("text"), F.explode_outer("timeseries").alias("s"))
+        .withColumn("corrupt", F.when(F.col("s").isNull(), F.col("text")))
+        .where("s is not null or corrupt is not null")
+    )
     reason = (
         F.when(F.col("corrupt").isNotNull(), F.lit("malformed_request"))
         .when(F.col("metric_raw").isNull(), F.lit("missing_name"))
@@ -47,6 +51,13 @@ def identify_series(
         )
         .withColumn("folded", L.entries(F.col("pairs")))
     )
+    payload = F.when(
+        reason.isNotNull(),
+        F.coalesce(
+            F.col("corrupt"),
+            F.to_json(F.struct(F.col("raw_labels").alias("labels"), "samples")),
+        ),
+    )
     raw, pairs, folded = F.col("metric_raw"), F.col("pairs"), F.col("folded")
     return named.select(
         F.lit(SOURCE).alias("source"),
@@ -58,8 +69,7 @@ def identify_series(
         L.stored_entries(pairs, folded, tag_bytes, tag_limit).alias("entries"),
         "samples",
         reason.alias("reason"),
-        "raw_labels",
-        "corrupt",
+        payload.alias("payload"),
     )
 
 
@@ -81,33 +91,32 @@ def explode_samples(rows: DataFrame, first_only: bool = False) -> DataFrame:
     )
 
 
-def normalise_requests(
-    requests: DataFrame,
-    key_mode: str = "exact",
-    tag_bytes: int = fixed.TAG_VALUE_BYTES,
-    tag_limit: int = fixed.TAGS_PER_SERIES,
-    first_only: bool = False,
-    keep: bool = False,
+def batch_of(
+    rows: DataFrame, key_mode: str = "exact", first_only: bool = False
 ) -> Batch:
-    """Points, series and rejects of ``requests``; ``keep`` caches the rows."""
-    rows = identify_series(requests, key_mode, tag_bytes, tag_limit)
-    rows = persisted(rows) if keep else rows
+    """Points, series and rejects of identified series."""
     good = rows.where(F.col("reason").isNull())
-    payload = F.coalesce(
-        F.col("corrupt"),
-        F.to_json(F.struct(F.col("raw_labels").alias("labels"), "samples")),
-    )
+    stored = F.when(F.col("reason").isNull(), _stored_samples(first_only))
     return Batch(
         rows=rows,
         points=explode_samples(good, first_only),
         text_points=None,
         series=distinct_series(good, keep_first=key_mode == "compat"),
-        rejected=rejects(rows, SOURCE, payload),
+        rejected=rejects(rows),
         counts={
-            "points": F.coalesce(
-                F.sum(F.when(F.col("reason").isNull(), _stored_samples(first_only))),
-                F.lit(0),
-            ),
+            "points": F.coalesce(F.sum(stored), F.lit(0)),
             "rejected": F.count("reason"),
         },
     )
+
+
+def normalise_requests(
+    requests: DataFrame,
+    key_mode: str = "exact",
+    tag_bytes: int = fixed.TAG_VALUE_BYTES,
+    tag_limit: int = fixed.TAGS_PER_SERIES,
+    first_only: bool = False,
+) -> Batch:
+    """Points, series and rejects of ``requests``."""
+    rows = identify_series(requests, key_mode, tag_bytes, tag_limit)
+    return batch_of(rows, key_mode, first_only)

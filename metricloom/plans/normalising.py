@@ -236,8 +236,8 @@ def agent_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return words.select(
         "word",
-        names.escape_agent_name(F.col("word"), "table").alias("table_name"),
-        names.escape_agent_name(F.col("word"), "tag").alias("tag_name"),
+        names.escape_agent_table(F.col("word")).alias("table_name"),
+        names.escape_agent_tags(F.array("word"))[0].alias("tag_name"),
     )
 
 
@@ -352,7 +352,7 @@ ORACLES = {
         SELECT metric, {_AGENT_KEY} AS series_key, ms, txt AS value FROM f WHERE kind = 'string'""",
     "agent_rejected": f"""{_A}
         SELECT 'agent' AS source, 'field_type' AS reason,
-               '{{"name":"Order","labels":{{"_user":"' || usr || '","field":"urgent","priority":"' || priority
+               '{{"name":"Order","tags":{{"_user":"' || usr || '","priority":"' || priority
                || '","srcip":"' || srcip || '"}},"field":"urgent","value":"' || urgent || '","timestamp":' || ms || '}}' AS payload
         FROM o""",
     "agent_series_key_compat": f"""{_A}

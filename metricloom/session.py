@@ -5,17 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def local_session(cpus: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
+def local_session(
+    cpus: str = "*", shuffle_partitions: int = 8, memory: str = "8g", **conf: str
+) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("metricloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
@@ -36,3 +39,12 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="metricloom-")
     return f"{base.rstrip('/')}/metricloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, tasks: int) -> DataFrame:
+    """``df`` in at least ``tasks`` partitions.
+
+    For input that cannot be split, such as one gzip file or a Parquet file of
+    one row group. Input that has enough splits is left alone, unshuffled.
+    """
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)

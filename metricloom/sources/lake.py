@@ -77,6 +77,12 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def stage(self, rows: DataFrame, stream: str) -> DataFrame:
+        """``rows`` written to the stream's staging table and read back."""
+        path = f"{self.root}/_staging/stream={stream}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def write_batch(
         self,
         batch: Batch,

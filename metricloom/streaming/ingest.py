@@ -16,25 +16,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from metricloom.config import IngestOptions
 from metricloom.operators import agent, remote
-from metricloom.operators.batch import Batch
+from metricloom.session import spread
 from metricloom.sources.lake import Lake
 
 Report = Callable[[int, dict[str, int]], Any]
 
 
-def normalise(source: str, rows: DataFrame, options: IngestOptions, keep: bool) -> Batch:
-    """Batch of ``rows`` that came from ``source`` (``remote`` or ``agent``)."""
+def identify(source: str, rows: DataFrame, options: IngestOptions) -> DataFrame:
+    """Named, keyed and typed rows of input from ``remote`` or ``agent``."""
     if source == remote.SOURCE:
-        return remote.normalise_requests(
-            rows,
-            options.key_mode,
-            options.tag_bytes,
-            options.tag_limit,
-            options.first_only,
-            keep,
+        return remote.identify_series(
+            rows, options.key_mode, options.tag_bytes, options.tag_limit
         )
     if source == agent.SOURCE:
-        return agent.normalise_batches(rows, options.key_mode, keep)
+        return agent.identify_fields(agent.explode_metrics(rows), options.key_mode)
     raise ValueError(f"unknown source {source!r}")
 
 
@@ -49,14 +44,19 @@ def ingest_batch(
 ) -> dict[str, int]:
     """Ingest one bounded set of requests or batches as batch ``batch_id``.
 
-    The normalised rows feed up to four writes, so they are kept while those
-    run and parsed once.
+    Parsing and keying are most of the work, and up to four tables are written
+    from their result. It is staged as a Parquet table beside the lake's, so
+    the input is parsed once, no executor has to hold it, and a lost executor
+    costs a re-read. The stream's next batch overwrites the stage.
     """
-    batch = normalise(source, rows, options, keep=True)
-    try:
-        return lake.write_batch(batch, stream or source, batch_id, created_at)
-    finally:
-        batch.rows.unpersist()
+    stream = stream or source
+    identified = identify(source, spread(rows, options.min_tasks), options)
+    staged = lake.stage(identified, stream)
+    if source == remote.SOURCE:
+        batch = remote.batch_of(staged, options.key_mode, options.first_only)
+    else:
+        batch = agent.batch_of(staged, options.key_mode)
+    return lake.write_batch(batch, stream, batch_id, created_at)
 
 
 def start_ingest(
