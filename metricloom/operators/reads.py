@@ -17,6 +17,15 @@ from metricloom.operators.matchers import (
 )
 from metricloom.sources.lake import Lake, in_period
 
+# First and last ms of the years 1 to 9999.
+MIN_MS = -62_135_596_800_000
+MAX_MS = 253_402_300_799_999
+
+# Longest series answered as one row, some 10 MB, and the most keys of longer
+# series to broadcast, some 1 MB.
+FRAME_SAMPLES = 500_000
+BROADCAST_HOT = 10_000
+
 SERIES_KEYS = ["stream", "metric", "series_key"]
 
 
@@ -34,8 +43,13 @@ def _numeric_series(lake: Lake) -> DataFrame:
     return lake.series().where(F.col("kind") == values.NUMBER)
 
 
+def _instant(ms: int) -> Column:
+    # An open end comes as the smallest or largest integer; no timestamp does.
+    return F.timestamp_millis(F.lit(min(max(ms, MIN_MS), MAX_MS)))
+
+
 def _range(start_ms: int, end_ms: int) -> Column:
-    lo, hi = F.timestamp_millis(F.lit(start_ms)), F.timestamp_millis(F.lit(end_ms))
+    lo, hi = _instant(start_ms), _instant(end_ms)
     return F.col("ts").between(lo, hi) & in_period(lo, hi)
 
 
@@ -73,8 +87,8 @@ def read_many(
                     w.metric & w.labels,
                     F.struct(
                         F.lit(i).alias("query_id"),
-                        F.timestamp_millis(F.lit(q.start_ms)).alias("lo"),
-                        F.timestamp_millis(F.lit(q.end_ms)).alias("hi"),
+                        _instant(q.start_ms).alias("lo"),
+                        _instant(q.end_ms).alias("hi"),
                     ),
                 )
                 for i, (w, q) in enumerate(zip(wanted, queries))
@@ -118,19 +132,46 @@ def queries_of(requests: Iterable) -> list[Query]:
     ]
 
 
-def series_frames(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def _hot(points: DataFrame, keys: list[str], frame_samples: int) -> DataFrame | None:
+    """Keys of the series too long for one row, or None when there are none."""
+    hot = (
+        points.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > frame_samples)
+        .select(*keys)
+    )
+    listed = hot.limit(BROADCAST_HOT + 1).collect()
+    if not listed:
+        return None
+    if len(listed) > BROADCAST_HOT:
+        return hot
+    return F.broadcast(points.sparkSession.createDataFrame(listed, hot.schema))
+
+
+def series_frames(
+    points: DataFrame, by: Sequence[str] = (), frame_samples: int = FRAME_SAMPLES
+) -> DataFrame:
     """Points grouped to series rows, samples in time order.
 
-    A row is a *frame*: the samples of one series that one task held. A frame
-    can never outgrow a task's input, so a series of any size stays whole as a
-    run of frames, and since all rows of a frame start in the same task they
-    are gathered before the shuffle. Small reads give one frame per series.
+    A series of up to ``frame_samples`` samples is one row. A longer one stays
+    whole as several rows, its *frames*: each holds what one task had of the
+    series, so no frame outgrows a task's input however long the series is or
+    how often a point repeats, and it is gathered before the shuffle. Series
+    are counted first to tell; that pass combines map-side and needs no values.
     ``by`` adds grouping columns such as ``query_id``.
     """
     keys = [*by, "metric", "series_key"]
+    hot = _hot(points, keys, frame_samples)
+    if hot is None:
+        framed = points.withColumn("frame", F.lit(0))
+    else:
+        # The task is noted before the join, which may bring a series together.
+        placed = points.withColumn("task", F.spark_partition_id() + 1)
+        framed = placed.join(hot.withColumn("hot", F.lit(True)), keys, "left").withColumn(
+            "frame", F.when(F.col("hot"), F.col("task")).otherwise(0)
+        )
     return (
-        points.withColumn("frame", F.spark_partition_id())
-        .groupBy(*keys, "frame")
+        framed.groupBy(*keys, "frame")
         .agg(
             F.first("labels").alias("labels"),
             F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("samples"),

@@ -120,16 +120,20 @@ def test_hot_metric_is_written_by_many_tasks(spark, root):
     assert lake.points().select("series_key").distinct().count() == 200_000
 
 
-def test_hot_series_comes_as_bounded_frames_that_lose_nothing(spark):
+@pytest.mark.parametrize("broadcast", [0, 10_000])
+def test_hot_series_comes_as_bounded_frames_that_lose_nothing(spark, broadcast, monkeypatch):
+    monkeypatch.setattr(reads, "BROADCAST_HOT", broadcast)
     hot = spark.range(0, 30_000, 1, 8).select(
         F.lit("m").alias("metric"),
         F.when(F.col("id") % 3 == 0, F.col("id") % 10).otherwise(-1).cast("string").alias("series_key"),
         F.timestamp_millis((F.col("id") * 7919) % 5000).alias("ts"),
         F.col("id").cast("double").alias("value"),
     ).withColumn("labels", F.create_map(F.lit("k"), "series_key"))
-    frames = reads.series_frames(hot).cache()
+    frames = reads.series_frames(hot, frame_samples=2000).cache()
     sizes = [r.n for r in frames.where("series_key = '-1'").select(F.size("samples").alias("n")).collect()]
+    assert sum(sizes) == 20_000
     assert len(sizes) == 8 and max(sizes) <= 30_000 // 8
+    assert frames.where("series_key <> '-1'").count() == 10, "short series stay one row"
     back = frames.select("series_key", F.explode("samples").alias("s")).select("series_key", "s.ts", "s.value")
     assert rows(back) == rows(hot.select("series_key", "ts", "value"))
     for frame in frames.collect():

@@ -103,7 +103,7 @@ def test_unfit_matchers(spark, matchers):
         ("(?P<my_name>a)", "(?d)(a)"), ("(?<n>a)", "(?d)(a)"), ("(?i:a)b", "(?d)(?i:a)b"),
         ("[[:alpha:]x]", r"(?d)[\p{Alpha}x]"), ("[[:^digit:]]", r"(?d)[\P{Digit}]"),
         ("[a&&b]", r"(?d)[a\&\&b]"), ("[]a]", r"(?d)[\]a]"), ("[^]a]", r"(?d)[^\]a]"),
-        ("[a[b]", r"(?d)[a\[b]"), ("a{2,3}", "(?d)a{2,3}"), ("a{,3}", r"(?d)a\{,3}"), ("x{", r"(?d)x\{"),
+        ("[a[b]", r"(?d)[a\[b]"), ("[[]b", r"(?d)[\[]b"), ("[a^]", "(?d)[a^]"), ("[^^]a]", "(?d)[^^]a]"), ("a{2,3}", "(?d)a{2,3}"), ("a{,3}", r"(?d)a\{,3}"), ("x{", r"(?d)x\{"),
         (r"\++", r"(?d)\++"), ("a+?", "(?d)a+?"),
     ],
 )
