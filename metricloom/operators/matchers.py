@@ -27,11 +27,15 @@ class Matcher:
 
 @dataclass(frozen=True)
 class Query:
-    """One read: matchers and an inclusive time range in ms."""
+    """One read: matchers and an inclusive time range in ms.
+
+    Without a ``query_id`` a query is known by its place among those read.
+    """
 
     start_ms: int
     end_ms: int
     matchers: tuple[Matcher, ...] = field(default_factory=tuple)
+    query_id: int | None = None
 
     @classmethod
     def of(cls, start_ms: int, end_ms: int, *matchers: tuple[str, str, str]) -> Query:

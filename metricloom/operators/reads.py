@@ -86,7 +86,7 @@ def read_many(
                 F.when(
                     w.metric & w.labels,
                     F.struct(
-                        F.lit(i).alias("query_id"),
+                        F.lit(i if q.query_id is None else q.query_id).alias("query_id"),
                         _instant(q.start_ms).alias("lo"),
                         _instant(q.end_ms).alias("hi"),
                     ),
@@ -127,6 +127,7 @@ def queries_of(requests: Iterable) -> list[Query]:
             row["start_ms"],
             row["end_ms"],
             tuple(Matcher(m["type"], m["name"], m["value"]) for m in row["matchers"]),
+            row["query_id"],
         )
         for row in ordered
     ]

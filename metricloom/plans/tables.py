@@ -17,7 +17,6 @@ from metricloom.sources.remote import SERIES_ARRAY
 from metricloom.streaming.ingest import ingest_batch
 
 MID = "2024-01-16 00:00:00"
-ORDERS_MID = "1998-07-01 00:00:00"
 CREATED_AT = "2024-02-01 00:00:00"
 EVENT_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -134,33 +133,38 @@ def agent_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
-    """Lake of all events, orders and line items, written once per session.
+def build_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """New lake of all events, orders and line items.
 
     Remote input goes in as two batches, earlier and later events, so the
     second one meets registered series.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _lakes:
-        lake = Lake(spark, work_dir(spark, "lake"), grain="month")
-        created = F.lit(CREATED_AT).cast("timestamp")
-        events = with_labels(table(spark, sf_dir, "events"))
-        early = F.col("ts") < F.lit(MID).cast("timestamp_ntz")
-        for batch_id, part in enumerate((early, ~early)):
-            ingest_batch(
-                lake,
-                as_requests(events.where(part)),
-                batch_id=batch_id,
-                created_at=created,
-            )
+    lake = Lake(spark, work_dir(spark, "lake"), grain="month")
+    created = F.lit(CREATED_AT).cast("timestamp")
+    events = with_labels(table(spark, sf_dir, "events"))
+    early = F.col("ts") < F.lit(MID).cast("timestamp_ntz")
+    for batch_id, part in enumerate((early, ~early)):
         ingest_batch(
             lake,
-            agent_batches(spark, sf_dir),
-            "agent",
-            options=IngestOptions.for_agent(),
+            as_requests(events.where(part)),
+            batch_id=batch_id,
             created_at=created,
         )
-        _lakes[key] = lake
+    ingest_batch(
+        lake,
+        agent_batches(spark, sf_dir),
+        "agent",
+        options=IngestOptions.for_agent(),
+        created_at=created,
+    )
+    return lake
+
+
+def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
+    """The lake of ``sf_dir``, built once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _lakes:
+        _lakes[key] = build_lake(spark, sf_dir)
     return _lakes[key]
 
 

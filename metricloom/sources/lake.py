@@ -122,7 +122,8 @@ class Lake:
         )
 
     def _write_points(self, points: DataFrame, place: str) -> None:
-        period = F.trunc("ts", "month") if self.grain == "month" else F.to_date("ts")
+        day = utc_day(F.col("ts"))
+        period = F.trunc(day, "month") if self.grain == "month" else day
         self._overwrite(
             points.withColumn("period", period),
             place,
@@ -166,13 +167,18 @@ def new_series(series: DataFrame, known: DataFrame) -> DataFrame:
     return series.join(known.select(*keys), keys, "left_anti")
 
 
+def utc_day(ts: Column) -> Column:
+    """UTC day of ``ts``, so a lake does not depend on the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
+
+
 def in_period(lo: Column, hi: Column) -> Column:
     """Partition predicate that holds for every point with ``lo <= ts <= hi``.
 
     It reaches back one longest period, so it is right for either grain.
     """
     return F.col("period").between(
-        F.date_sub(F.to_date(lo), LONGEST_PERIOD_DAYS - 1), F.to_date(hi)
+        F.date_sub(utc_day(lo), LONGEST_PERIOD_DAYS - 1), utc_day(hi)
     )
 
 

@@ -11,13 +11,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from metricloom.config import IngestOptions
 from metricloom.operators import agent, remote
 from metricloom.session import spread
+from metricloom.sources.agent import read_agent_batches
 from metricloom.sources.lake import Lake
+from metricloom.sources.remote import read_write_requests
 
 Report = Callable[[int, dict[str, int]], Any]
 
@@ -59,6 +61,24 @@ def ingest_batch(
     return lake.write_batch(batch, stream, batch_id, created_at)
 
 
+def follow(
+    spark: SparkSession,
+    path: str,
+    source: str = remote.SOURCE,
+    options: IngestOptions = IngestOptions(),
+) -> DataFrame:
+    """Streaming JSON input under ``path``, ``batch_size`` files a micro-batch."""
+    readers = {
+        remote.SOURCE: read_write_requests,
+        agent.SOURCE: read_agent_batches,
+    }
+    if source not in readers:
+        raise ValueError(f"unknown source {source!r}")
+    return readers[source](
+        spark, path, streaming=True, maxFilesPerTrigger=str(options.batch_size)
+    )
+
+
 def start_ingest(
     lake: Lake,
     rows: DataFrame,

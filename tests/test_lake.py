@@ -14,7 +14,7 @@ from metricloom.sources import lake as lake_module
 from metricloom.sources.lake import Lake, compact, ensure_namespace
 from metricloom.sources.remote import read_requests, read_write_requests
 from metricloom.session import spread, work_dir
-from metricloom.streaming.ingest import ingest_batch, start_ingest
+from metricloom.streaming.ingest import follow, ingest_batch, start_ingest
 
 DAY = 86_400_000
 EVERY = Query.of(0, 4_000_000_000_000, ("RE", "__name__", "."))
@@ -53,6 +53,23 @@ def test_round_trip_and_ranges(spark, root, grain):
     assert flat(catalog.scan_metric(lake, "123")) == [p for p in every if p[0] == "123"]
 
 
+def test_lake_does_not_depend_on_the_session_time_zone(spark, root):
+    source = sample_requests(spark)
+    zones = ["Asia/Tokyo", "America/Los_Angeles", "UTC"]
+    try:
+        for i, zone in enumerate(zones):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            ingest_batch(Lake(spark, root, "month"), requests(spark, *source[i * 20:(i + 1) * 20]), batch_id=i)
+        every = expected(source)
+        for zone in zones:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for lo, hi in [(31 * DAY, 59 * DAY - 1), (90 * DAY, 120 * DAY)]:
+                got = flat(reads.read_points(Lake(spark, root), Query.of(lo, hi, ("RE", "__name__", "."))))
+                assert got == [p for p in every if lo <= p[2] <= hi]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_empty_lake(spark, root):
     lake = Lake(spark, root)
     assert reads.read_points(lake, EVERY).count() == 0
@@ -175,7 +192,7 @@ def test_many_queries_and_their_merge(spark, root):
 def test_read_requests_and_written_answer(spark, root, tmp_path):
     lake = Lake(spark, root)
     ingest_batch(lake, requests(spark, series("go_goroutines", [("job", "prometheus")], [(1618085130781, 1.0), (1619863860781, 2.0), (1619863860782, 3.0)])))
-    request = {"query_id": 0, "start_ms": 1618085130781, "end_ms": 1619863860781,
+    request = {"query_id": 4, "start_ms": 1618085130781, "end_ms": 1619863860781,
                "matchers": [{"type": "EQ", "name": "job", "value": "prometheus"},
                             {"type": "EQ", "name": "__name__", "value": "go_goroutines"}]}
     (tmp_path / "q.json").write_text(json.dumps(request))
@@ -184,7 +201,7 @@ def test_read_requests_and_written_answer(spark, root, tmp_path):
     reads.write_series(frames, root + "/answer")
     answer = [json.loads(line) for line in spark.read.text(root + "/answer").toPandas()["value"]]
     assert answer == [{
-        "query_id": 0,
+        "query_id": 4,
         "labels": [{"name": "__name__", "value": "go_goroutines"}, {"name": "job", "value": "prometheus"}],
         "samples": [{"value": 1.0, "timestamp": 1618085130781}, {"value": 2.0, "timestamp": 1619863860781}],
     }]
@@ -251,7 +268,7 @@ def test_stream_equals_batch_and_resumes(spark, root, tmp_path):
     reports = []
 
     def run():
-        stream = read_write_requests(spark, str(tmp_path), streaming=True, maxFilesPerTrigger="1")
+        stream = follow(spark, str(tmp_path), options=IngestOptions(batch_size=1))
         start_ingest(lake, stream, checkpoint, trigger={"availableNow": True},
                      report=lambda batch_id, counts: reports.append((batch_id, counts["points"]))).awaitTermination()
 
@@ -270,7 +287,23 @@ def test_stream_equals_batch_and_resumes(spark, root, tmp_path):
     assert rows(lake.rejected().select("reason", "payload")) == [("malformed_request", "{bad")]
 
 
+def test_agent_stream(spark, root, tmp_path):
+    lake = Lake(spark, root + "/lake")
+    for i in range(3):
+        (tmp_path / f"{i}.json").write_text(agent_payload(i, x=i, s=f"t{i}", bad=True) + "\n")
+    options = IngestOptions.for_agent(batch_size=2)
+    start_ingest(lake, follow(spark, str(tmp_path), "agent", options), root + "/checkpoint", "agent",
+                 options, trigger={"availableNow": True}).awaitTermination()
+    assert rows(catalog.wide_view(lake, "cpu").select("host", "field", "value")) == [
+        ("h0", "x", 0.0), ("h1", "x", 1.0), ("h2", "x", 2.0)]
+    assert rows(catalog.wide_view(lake, "cpu_str").select("value")) == [("t0",), ("t1",), ("t2",)]
+    assert rows(lake.rejected().select("reason").distinct()) == [("field_type",)]
+    assert rows(lake.series().select("batch_id").distinct()) == [(0,), (1,)]
+
+
 def test_unknown_source_and_grain(spark, root):
+    with pytest.raises(ValueError):
+        follow(spark, root, "other")
     with pytest.raises(ValueError):
         ingest_batch(Lake(spark, root), requests(spark, series("m", [], [])), "other")
     with pytest.raises(ValueError):
