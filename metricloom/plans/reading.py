@@ -282,7 +282,7 @@ ORACLES = {
               UNION ALL
               SELECT metric || '_str', 4, count(DISTINCT CASE WHEN kind = 'string' THEN vals || '|' || srcip END)
               FROM f GROUP BY metric)
-        SELECT name, TIMESTAMP '{T.CREATED_AT}' AS created_time, 2 AS columns, CAST(tags AS INTEGER) AS tags, tables FROM c""",
+        SELECT name, TIMESTAMP '{T.CREATED_AT}' AS created_time, 2 AS columns, CAST(tags AS BIGINT) AS tags, tables FROM c""",
     "describe_metric": f"""{_E},
         t AS (SELECT 'user' AS tag UNION SELECT 'zone'
               UNION SELECT 'tier' FROM e WHERE metric = 'app_click' AND tier IS NOT NULL)
