@@ -91,7 +91,7 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _read(spark: SparkSession, args: argparse.Namespace) -> None:
-    queries = reads.queries_of(read_requests(spark, args.requests).collect())
+    queries = reads.queries_of(read_requests(spark, args.requests))
     points = reads.read_many(Lake(spark, args.lake), queries, merge_queries=args.merge)
     frames = reads.series_frames(points, [] if args.merge else ["query_id"])
     reads.write_series(frames, args.output)

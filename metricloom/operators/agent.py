@@ -68,7 +68,7 @@ def identify_fields(metrics: DataFrame, key_mode: str = "exact") -> DataFrame:
     """
     pairs = F.arrays_zip(
         names.escape_agent_tags(F.map_keys("tags")).alias("name"),
-        F.map_values("tags").alias("value"),
+        F.transform(F.map_values("tags"), lambda v: F.coalesce(v, F.lit(""))).alias("value"),
     ).cast(L.PAIRS)
     reserved = [fixed.SOURCE_TAG, fixed.FIELD_TAG]
     named = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -26,6 +26,8 @@ MAX_MS = 253_402_300_799_999
 FRAME_SAMPLES = 500_000
 BROADCAST_HOT = 10_000
 
+MAX_QUERIES = 5_000
+
 SERIES_KEYS = ["stream", "metric", "series_key"]
 
 
@@ -115,13 +117,15 @@ def read_many(
     return found.select(F.col("hit.query_id").alias("query_id"), *columns)
 
 
-def queries_of(requests: Iterable) -> list[Query]:
-    """Queries from rows of ``sources.remote.read_requests``, in ``query_id`` order.
+def queries_of(requests: DataFrame) -> list[Query]:
+    """Queries of ``sources.remote.read_requests`` rows, in ``query_id`` order.
 
-    A read request is a message of a few queries, the text of the read itself;
-    pass its collected rows.
+    A read request is the text of a read, so its queries become part of the
+    plan. Thousands are fine; more are refused, to be read in several calls.
     """
-    ordered = sorted(requests, key=lambda row: row["query_id"])
+    rows = requests.orderBy("query_id").limit(MAX_QUERIES + 1).collect()
+    if len(rows) > MAX_QUERIES:
+        raise ValueError(f"more than {MAX_QUERIES} queries in one read")
     return [
         Query(
             row["start_ms"],
@@ -129,7 +133,7 @@ def queries_of(requests: Iterable) -> list[Query]:
             tuple(Matcher(m["type"], m["name"], m["value"]) for m in row["matchers"]),
             row["query_id"],
         )
-        for row in ordered
+        for row in rows
     ]
 
 

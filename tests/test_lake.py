@@ -196,7 +196,7 @@ def test_read_requests_and_written_answer(spark, root, tmp_path):
                "matchers": [{"type": "EQ", "name": "job", "value": "prometheus"},
                             {"type": "EQ", "name": "__name__", "value": "go_goroutines"}]}
     (tmp_path / "q.json").write_text(json.dumps(request))
-    queries = reads.queries_of(read_requests(spark, str(tmp_path)).collect())
+    queries = reads.queries_of(read_requests(spark, str(tmp_path)))
     frames = reads.series_frames(reads.read_many(lake, queries), ["query_id"])
     reads.write_series(frames, root + "/answer")
     answer = [json.loads(line) for line in spark.read.text(root + "/answer").toPandas()["value"]]

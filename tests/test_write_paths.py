@@ -104,6 +104,14 @@ def test_agent_origin_tags_win(spark):
     assert batch.series.first().labels == {"a": "b", "srcip": "10.0.0.1", "field": "f"}
 
 
+def test_absent_agent_tags_and_null_values(spark):
+    make = lambda tags: json.dumps({"metrics": [{"name": "m", "tags": tags, "fields": {"f": 1}, "timestamp": 1}]})
+    source = batches(spark, make({"a": None}), make({"a": ""}), make(None))
+    series = agent.normalise_batches(source).series
+    assert rows(series.select("labels")) == [
+        ({"a": "", "srcip": "10.0.0.1", "field": "f"},), ({"srcip": "10.0.0.1", "field": "f"},)]
+
+
 def test_agent_compat_key(spark):
     metric = {"name": "cpu", "tags": {"z": "b", "y": "a"}, "fields": {"idle": 1}, "timestamp": 1}
     batch = agent.normalise_batches(batches(spark, json.dumps({"metrics": [metric]})), key_mode="compat")
