@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from metricloom.llm.common import let, lower_ascii
+from metricloom.llm.common import let, lower_ascii, stored
 
 WINDOW = 13
 PERCENT = 5  # of a text's words
@@ -154,7 +154,7 @@ def phrase_matches(
     """
     positions = item_words(items, item_col, item_text_col)
     terms = _bounded(positions.select("term").distinct(), BROADCAST_TERMS)
-    found = anchors(positions, term_frequencies(docs, text_col, terms), window)
+    found = stored(anchors(positions, term_frequencies(docs, text_col, terms), window), "anchors")
     distinct_terms = _bounded(found.select("term").distinct(), BROADCAST_TERMS)
     aligned = postings(docs, text_col, distinct_terms, window - 1).join(found, "term")
     most = window - 1
@@ -213,8 +213,10 @@ def proximity_matches(
 
 def hits(matches: DataFrame) -> DataFrame:
     """(key, n_hit, items): distinct covered words and items of each text."""
-    runs = matches.select("key", "lo", "hi").distinct()
-    covered = runs.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
+    covered = matches.groupBy("key").agg(
+        F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"),
+        F.array_sort(F.collect_set("item")).alias("items"),
+    )
     start = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("end"))
     n_hit = F.aggregate(
         "runs", start,
@@ -224,8 +226,7 @@ def hits(matches: DataFrame) -> DataFrame:
         ),
         lambda s: s["n"],
     )
-    named = matches.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    return covered.select("key", n_hit.cast("long").alias("n_hit")).join(named, "key")
+    return covered.select("key", n_hit.cast("long").alias("n_hit"), "items")
 
 
 def judged(

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metricloom.llm import components
 from metricloom.llm.common import stored
@@ -44,7 +44,7 @@ BLOCK = 2_000_000  # n-grams a task holds at once
 RANGES = 16  # of the hash space, for the suffix filter
 LEADER_ROUNDS = 1
 
-_SIGNATURE = "kind int, doc_id long, n long, digest long"
+_SIGNATURE = "kind int, doc_id long, key string, n long, digest long"
 _BLOCK = "part long, hot boolean, digests binary, sizes binary, runs binary, grams binary, dfs binary"
 _CLASS = "digest long, n int, rare int, grams array<long>"
 
@@ -86,7 +86,7 @@ def _digest(grams: np.ndarray) -> int:
 def _signatures(words: int):
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, keys, texts = batch.columns
             sizes, digests, sets, held = [], [], [], 0
             found: dict[int, int] = {}
 
@@ -112,11 +112,12 @@ def _signatures(words: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([0] * len(sizes) + [1] * k, pa.int32()),
-                    pa.concat_arrays([ids.cast(pa.int64()), pa.nulls(k, pa.int64())]),
+                    pa.concat_arrays([ids, pa.nulls(k, pa.int64())]),
+                    pa.concat_arrays([keys, pa.nulls(k, pa.string())]),
                     pa.array(sizes + list(found.values()), pa.int64()),
                     pa.array(digests + list(found), pa.int64()),
                 ],
-                ["kind", "doc_id", "n", "digest"],
+                ["kind", "doc_id", "key", "n", "digest"],
             )
 
     return run
@@ -293,9 +294,16 @@ def _classes(percent: int):
     return lambda batches: _by_part(batches, close)
 
 
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """Set size and digest by row (kind 0), and n-grams frequent in a task (1)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("key"),
+        F.col(text_col).cast("string").alias("text"),
+    )
     return stored(rows.mapInArrow(_signatures(words), _SIGNATURE), "signatures", "kind")
 
 
@@ -434,24 +442,14 @@ def similar_pairs(
     return verified(_cross_pairs(lists, percent), found, percent)
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    percent: int = PERCENT, words: int = WORDS,
-) -> DataFrame:
-    """doc_id, n_shingles, digest, component_id of every row.
-
-    ``component_id`` is the smallest id reachable by links, the row's own
-    included. A null or wordless text has no n-gram and is alone. Rows with
-    equal sets are linked. A row without id takes part in links, and gets the
-    smallest id of its component (null if it is alone). Repeated rows stay
-    repeated. Other columns are ignored. An empty table gives no row.
-    """
+def _members(docs: DataFrame, id_col: str, text_col: str, percent: int, words: int) -> DataFrame:
+    """doc_id, key, n, digest, comp, component_id; no comp for rows without words."""
     signed = signatures(docs, id_col, text_col, words)
     found = classes(docs, text_col, signed, percent, words)
     comps = link_components(found, percent).select(
         F.col("id.digest").alias("digest"), F.col("id.n").cast("long").alias("n"), "comp"
     )
-    rows = signed.where("kind = 0").select("doc_id", "n", "digest")
+    rows = signed.where("kind = 0").drop("kind")
     # Per distinct set first, so copies are folded before anything is joined.
     sets = (
         rows.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("least"))
@@ -459,8 +457,50 @@ def near_duplicates(
         .withColumn("comp", F.coalesce("comp", F.struct("digest", F.col("n").cast("int").alias("n"))))
     )
     least = sets.groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_set = sets.join(least, "comp").select("digest", "n", "component_id")
-    return rows.join(by_set, ["digest", "n"], "left").select(
+    by_set = sets.join(least, "comp").select("digest", "n", "comp", "component_id")
+    return rows.join(by_set, ["digest", "n"], "left")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    percent: int = PERCENT, words: int = WORDS,
+) -> DataFrame:
+    """doc_id, n_shingles, digest, component_id of every row.
+
+    ``component_id`` is the smallest id reachable by links, the row's own
+    included. A null or wordless text has no n-gram and is alone. Rows with
+    equal sets are linked. A row without id takes part in links, and gets the
+    smallest id of its component (null if it is alone). Repeated rows stay
+    repeated. Other columns are ignored. An empty table gives no row.
+    """
+    alone = F.col("n") == 0
+    return _members(docs, id_col, text_col, percent, words).select(
         "doc_id", F.col("n").alias("n_shingles"), "digest",
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    percent: int = PERCENT, words: int = WORDS,
+) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id.
+
+    Of rows that repeat one id and text, one stays. Rows without an id yield
+    to rows with one. Rows without words are like nothing and all stay.
+    Columns of ``docs`` may have any names and come back as they are.
+    """
+    rows = _members(docs, id_col, text_col, percent, words).where("n > 0")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")
+    winners = rows.groupBy("comp").agg(first).select("comp", "first.doc_id", "first.key")
+    won = winners.select("doc_id", "key").distinct()
+    keyed = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
+        text_key(F.col(text_col)).alias("key"),
+        F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
     )
+    same = keyed["id"].eqNullSafe(won["doc_id"]) & (keyed["key"] == won["key"])
+    kept = keyed.where("worded").join(won, same, "left_semi")
+    copy = F.row_number().over(Window.partitionBy("id", "key").orderBy("worded"))
+    once = kept.withColumn("copy", copy).where("copy = 1")
+    return once.select("row.*").unionByName(keyed.where("NOT worded").select("row.*"))

@@ -4,8 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metricloom.llm import decontaminate, jaccard_join
+from metricloom.llm import (
+    chat, decontaminate, jaccard_join, mixing, pii, quality, suffix_dedup, url_filter, warc,
+)
 from metricloom.llm.common import read_table
+from metricloom.session import work_dir
+
+
+def op1_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole mixture: every copy with its text, in shuffled order."""
+    docs = read_table(spark, sf_dir, "documents")
+    made = mixing.mixed(docs, carry=["doc_id", "source", "lang", "text"])
+    return made.select("row.*", "copy", "rate", "place")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page's url."""
+    rules = url_filter.host_rules(url_filter.HOST_RULES)
+    judged = url_filter.judged(read_table(spark, sf_dir, "pages"), rules, carry=["page_id"])
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    path = work_dir(spark, "warc")
+    warc.archive(read_table(spark, sf_dir, "pages"), path)
+    records = warc.read(spark, path, payload=False).where(F.col("record_type").isin("response", "revisit"))
+    return records.select(
+        warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", warc.page_id(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document repeats elsewhere, and the digest of the rest."""
+    found = suffix_dedup.without_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn but an assistant's as a result, every assistant turn as a call."""
+    turns = read_table(spark, sf_dir, "conversations")
+    found = chat.linked(chat.calls_of(turns), chat.results_of(turns))
+    return found.select(
+        F.col("conv").alias("conv_id"), "turn", "call_id", "level", "status",
+        F.array_join("errors", ",").alias("errors"), "n_results", "json",
+    )
+
+
+def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    judged = quality.judged(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +67,12 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for personal data."""
+    done = pii.pseudonymised(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    return done.select("row.doc_id", F.col("new_text").alias("text"), "n_replaced")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits and verdict of every document."""
     judged = decontaminate.judged(
@@ -26,7 +85,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {
+    "op1_poisson_mixing": op1_poisson_mixing,
+    "op2_url_filter": op2_url_filter,
+    "op3_warc": op3_warc,
+    "op4_repeated_strings": op4_repeated_strings,
+    "op5_tool_call_linking": op5_tool_call_linking,
+    "op6_distribution_divergence": op6_distribution_divergence,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op9_surrogates": op9_surrogates,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
