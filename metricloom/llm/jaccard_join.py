@@ -42,7 +42,7 @@ LOCAL_SHARE = 100  # a task reports n-grams found in 1 of so many of its texts
 HOT_DF = 1 << 30  # orders every hot n-gram after all others
 BLOCK = 2_000_000  # n-grams a task holds at once
 RANGES = 16  # of the hash space, for the suffix filter
-LEADER_ROUNDS = 1
+LEADER_ROUNDS = 2
 
 _SIGNATURE = "kind int, doc_id long, key string, n long, digest long"
 _BLOCK = "part long, hot boolean, digests binary, sizes binary, runs binary, grams binary, dfs binary"
@@ -366,18 +366,23 @@ def passes(a: str, b: str, percent: int) -> Column:
     return length & positional & bound(common)
 
 
-def _ordered(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _ordered(x: str, y: str) -> list[Column]:
+    """A pair and its components, the smaller id first."""
+    swap = F.col(f"{x}.id") > F.col(f"{y}.id")
+    pick = lambda f, a, b, name: F.when(swap, F.col(f"{b}.{f}")).otherwise(F.col(f"{a}.{f}")).alias(name)
+    return [
+        pick("id", x, y, "a"), pick("id", y, x, "b"), pick("comp", x, y, "comp_a"), pick("comp", y, x, "comp_b"),
+    ]
 
 
 def verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs (a, b) that link, with their intersection's size."""
+    """The distinct pairs that link, with their intersection's size."""
     side = lambda name: found.select(
         F.struct("digest", "n").alias(name), F.col("grams").alias(f"{name}_grams")
     )
     both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     inter = F.size(F.array_intersect("a_grams", "b_grams")).alias("shared")
-    return both.select("a", "b", inter).where(
+    return both.select(*pairs.columns, inter).where(
         F.col("shared") * 100 >= (F.col("a.n") + F.col("b.n") - F.col("shared")) * percent
     )
 
@@ -390,7 +395,7 @@ def _leader_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
         F.struct("id", "n", "place", "profile", "comp").alias("x"), F.col("l").alias("y")
     )
     return both.where((F.col("x.comp") != F.col("y.comp")) & passes("x", "y", percent)).select(
-        *_ordered(F.col("x.id"), F.col("y.id"))
+        *_ordered("x", "y")
     )
 
 
@@ -403,7 +408,7 @@ def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     row = F.struct("id", "n", "place", "profile", "comp")
     x, y = rows.select("gram", row.alias("x")), rows.select("gram", row.alias("y"))
     both = x.join(y, "gram").where((F.col("x.comp") < F.col("y.comp")) & passes("x", "y", percent))
-    return both.select(*_ordered(F.col("x.id"), F.col("y.id")))
+    return both.select(*_ordered("x", "y"))
 
 
 def link_components(found: DataFrame, percent: int) -> DataFrame:
@@ -413,17 +418,17 @@ def link_components(found: DataFrame, percent: int) -> DataFrame:
         rows.join(rows.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram"), "gram"),
         "prefixes",
     )
-    comps = None
+    comps = lists.select("id").distinct().withColumn("comp", F.col("id"))
     for seed in [*range(LEADER_ROUNDS), None]:
-        if comps is None:
-            state = lists.withColumn("comp", F.col("id"))
-        else:
-            state = lists.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        state = lists.join(comps, "id")
         pairs = _cross_pairs(state, percent) if seed is None else _leader_pairs(state, seed, percent)
-        links = verified(pairs, found, percent).select("a", "b")
-        if comps is not None:
-            links = links.unionByName(comps.select(F.col("id").alias("a"), F.col("comp").alias("b")))
-        comps = components.connected(links, "a", "b")
+        # Links between two components are one edge, however many texts they tie.
+        links = verified(pairs, found, percent).select("comp_a", "comp_b").distinct()
+        roots = components.connected(links, "comp_a", "comp_b")
+        roots = roots.select(F.col("id").alias("comp"), F.col("comp").alias("root"))
+        comps = stored(
+            comps.join(roots, "comp", "left").select("id", F.coalesce("root", "comp").alias("comp")), "comps"
+        )
     return comps
 
 
@@ -439,7 +444,7 @@ def similar_pairs(
     """
     found = classes(docs, text_col, signatures(docs, id_col, text_col, words), percent, words)
     lists = prefixes(found, percent).withColumn("comp", F.col("id"))
-    return verified(_cross_pairs(lists, percent), found, percent)
+    return verified(_cross_pairs(lists, percent).select("a", "b"), found, percent)
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, percent: int, words: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metricloom.llm import (
-    chat, decontaminate, jaccard_join, mixing, pii, quality, suffix_dedup, url_filter, warc,
+    chat, decontaminate, jaccard_join, lm, mixing, pii, quality, suffix_dedup, url_filter, warc,
 )
 from metricloom.llm.common import read_table
 from metricloom.session import work_dir
@@ -67,6 +67,11 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document, learned from nine tenths of them."""
+    return lm.scored(read_table(spark, sf_dir, "documents"))
+
+
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates for personal data."""
     done = pii.pseudonymised(read_table(spark, sf_dir, "documents"), ["doc_id"])
@@ -92,6 +97,7 @@ QUERIES = {
     "op5_tool_call_linking": op5_tool_call_linking,
     "op6_distribution_divergence": op6_distribution_divergence,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_context_mixing": op8_context_mixing,
     "op9_surrogates": op9_surrogates,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
