@@ -27,6 +27,7 @@ time; then only pairs still in different components are enumerated.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +42,12 @@ WORDS = 4
 LOCAL_SHARE = 100  # a task reports n-grams found in 1 of so many of its texts
 HOT_DF = 1 << 30  # orders every hot n-gram after all others
 BLOCK = 2_000_000  # n-grams a task holds at once
-RANGES = 16  # of the hash space, for the suffix filter
+SIGNATURE_LONGS = 8  # 512 ranges of the hash space, for the suffix filter
 LEADER_ROUNDS = 2
 
 _SIGNATURE = "kind int, doc_id long, key string, n long, digest long"
 _BLOCK = "part long, hot boolean, digests binary, sizes binary, runs binary, grams binary, dfs binary"
-_CLASS = "digest long, n int, rare int, grams array<long>"
+_CLASS = "digest long, n int, rare int, grams array<long>, sig array<long>"
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -282,13 +283,19 @@ def _classes(percent: int):
         np.add.at(held, end, -1)
         values = _signed(gram[np.cumsum(held)[:-1] > 0])
         offsets = np.r_[0, np.cumsum(end - new)].astype(np.int32)
+        bits = 64 * SIGNATURE_LONGS
+        ranges = np.repeat(np.arange(len(new)), end - new) * bits + (values & (bits - 1))
+        odd = (np.bincount(ranges, minlength=len(new) * bits) & 1).astype(np.uint8)
+        sig = np.packbits(odd).view(np.int64)
+        sigs = np.arange(len(new) + 1, dtype=np.int32) * SIGNATURE_LONGS
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(digest[new]), pa.array(n[keep].astype(np.int32)),
                 pa.array(rare[keep].astype(np.int32)),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                pa.ListArray.from_arrays(pa.array(sigs), pa.array(sig)),
             ],
-            ["digest", "n", "rare", "grams"],
+            ["digest", "n", "rare", "grams", "sig"],
         )
 
     return lambda batches: _by_part(batches, close)
@@ -332,37 +339,40 @@ def classes(docs: DataFrame, text_col: str, signed: DataFrame, percent: int, wor
 
 
 def prefixes(found: DataFrame, percent: int) -> DataFrame:
-    """(gram, class, size, place in the order, suffix profile) of prefix n-grams."""
+    """(gram, id, n, place in the order, shared, sig) of prefix n-grams.
+
+    ``shared`` counts the class's n-grams that other classes have too; ``sig``
+    has a bit for each range of the hash space, set if it holds an odd number.
+    """
     prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1
-    slot = lambda g: F.shiftrightunsigned(g, 60)
-    slots = F.transform("grams", slot)
-    profile = F.transform(
-        F.sequence(F.lit(0), F.lit(RANGES - 1)),
-        lambda i: F.size(F.filter(slots, lambda s: s == i)).cast("int"),
-    )
-    rows = found.withColumn("profile", profile).select(
-        F.struct("digest", "n").alias("id"), "n", "rare", "profile",
+    rows = found.select(
+        F.struct("digest", "n").alias("id"), "n", "rare", F.size("grams").alias("shared"), "sig",
         F.posexplode(F.slice("grams", F.lit(1), prefix - F.col("rare"))).alias("i", "gram"),
     )
-    return rows.select("gram", "id", "n", (F.col("rare") + F.col("i")).alias("place"), "profile")
+    return rows.select("gram", "id", "n", (F.col("rare") + F.col("i")).alias("place"), "shared", "sig")
 
 
 def passes(a: str, b: str, percent: int) -> Column:
     """Length, positional and suffix filter for two prefix rows of one n-gram.
 
-    None loses a link: the positional bound holds at the pair's first common
-    prefix n-gram, and the suffix bound sums what each range of the n-gram
-    space could share at most.
+    None loses a link. The positional bound holds at the pair's first common
+    prefix n-gram. The suffix filter bounds the difference of the two sets from
+    below: a range that holds an odd number of one set and an even number of
+    the other holds an n-gram that they do not share.
     """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     i, j = F.col(f"{a}.place"), F.col(f"{b}.place")
-    length = (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+    length = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     bound = lambda most: most * 100 >= (n + m - most) * percent
     positional = bound(F.least(n - i, m - j))
-    common = F.aggregate(
-        F.zip_with(F.col(f"{a}.profile"), F.col(f"{b}.profile"), lambda p, q: F.least(p, q)),
-        F.lit(0), lambda s, x: s + x,
+    differ = reduce(
+        lambda x, y: x + y,
+        [
+            F.bit_count(F.col(f"{a}.sig")[k].bitwiseXOR(F.col(f"{b}.sig")[k]))
+            for k in range(SIGNATURE_LONGS)
+        ],
     )
+    common = F.floor((F.col(f"{a}.shared") + F.col(f"{b}.shared") - differ) / 2)
     return length & positional & bound(common)
 
 
@@ -389,10 +399,10 @@ def verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 def _leader_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
     """Each member of a list with the list's leader, where components differ."""
-    rank = F.struct(F.xxhash64("id", F.lit(seed)), "id", "n", "place", "profile", "comp")
+    rank = F.struct(F.xxhash64("id", F.lit(seed)), "id", "n", "place", "shared", "sig", "comp")
     lead = lists.groupBy("gram").agg(F.min(rank).alias("l"))
     both = lists.alias("m").join(lead, "gram").select(
-        F.struct("id", "n", "place", "profile", "comp").alias("x"), F.col("l").alias("y")
+        F.struct("id", "n", "place", "shared", "sig", "comp").alias("x"), F.col("l").alias("y")
     )
     return both.where((F.col("x.comp") != F.col("y.comp")) & passes("x", "y", percent)).select(
         *_ordered("x", "y")
@@ -405,7 +415,7 @@ def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
         F.min("comp").alias("lo"), F.max("comp").alias("hi")
     ).where(F.col("lo") != F.col("hi")).select("gram")
     rows = lists.join(open_lists, "gram")
-    row = F.struct("id", "n", "place", "profile", "comp")
+    row = F.struct("id", "n", "place", "shared", "sig", "comp")
     x, y = rows.select("gram", row.alias("x")), rows.select("gram", row.alias("y"))
     both = x.join(y, "gram").where((F.col("x.comp") < F.col("y.comp")) & passes("x", "y", percent))
     return both.select(*_ordered("x", "y"))
