@@ -44,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     replay.add_argument("input")
     replay.add_argument("lake")
     replay.add_argument("--stream", default="replay")
-    replay.add_argument("--batch-id", type=int, default=0)
+    replay.add_argument("--batch-id", type=int, help="replace this batch instead of appending")
 
     read = jobs.add_parser("read", help="answer read requests as nested JSON")
     read.add_argument("requests")

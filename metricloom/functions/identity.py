@@ -30,16 +30,18 @@ def _prefixed(text: Column) -> Column:
 
 
 def series_key(
-    metric_raw: Column, pairs: Column, entries: Column, mode: str = "exact"
+    metric_raw: Column, raw_labels: Column, entries: Column, mode: str = "exact"
 ) -> Column:
     """Key of a remote series from its raw name and its labels.
 
-    ``pairs`` keep arrival order, ``entries`` are unique and sorted; values
-    are not cut, so long values stay apart.
+    ``raw_labels`` are all labels as they arrived, the name's among them: a
+    ``compat`` key takes its value where it stands, which is not always first.
+    ``entries`` are unique and sorted; values are not cut, so long values stay
+    apart.
     """
     _check(mode)
     if mode == "compat":
-        return _prefixed(F.concat(metric_raw, F.array_join(pairs["value"], "")))
+        return _prefixed(F.array_join(raw_labels["value"], ""))
     return _md5(
         F.to_json(F.struct(metric_raw.alias("metric"), entries.alias("labels")))
     )

@@ -13,9 +13,20 @@ def finite_or_null(value: Column) -> Column:
     return F.when(F.abs(value) < float("inf"), value)
 
 
+# First and last ms of the years 1 to 9999; readers take no others.
+MIN_MS = -62_135_596_800_000
+MAX_MS = 253_402_300_799_999
+
+
+def in_range(millis: Column) -> Column:
+    """Whether an epoch in ms can be stored; an absent one is zero and can."""
+    return F.coalesce(millis, F.lit(0).cast("bigint")).between(MIN_MS, MAX_MS)
+
+
 def to_ts(millis: Column) -> Column:
-    """Timestamp of an epoch in ms; an absent epoch is zero, as on the wire."""
-    return F.timestamp_millis(F.coalesce(millis, F.lit(0).cast("bigint")))
+    """Timestamp of an epoch in ms, null out of range; an absent epoch is zero, as on the wire."""
+    present = F.coalesce(millis, F.lit(0).cast("bigint"))
+    return F.timestamp_millis(F.when(in_range(millis), present))
 
 
 def to_ms(ts: Column) -> Column:

@@ -21,7 +21,8 @@ def explode_metrics(batches: DataFrame) -> DataFrame:
         batches.select(
             F.coalesce(F.col(fixed.SOURCE_TAG), F.lit("")).alias("srcip"),
             corrupt.alias("text"),
-            F.explode_outer("metrics").alias("m"),
+            # A batch with any part of a wrong type is refused as a whole.
+            F.explode_outer(F.when(corrupt.isNull(), F.col("metrics"))).alias("m"),
         )
         .withColumn("corrupt", F.when(F.col("m").isNull(), F.col("text")))
         .where("m is not null or corrupt is not null")
@@ -47,11 +48,14 @@ def explode_fields(metrics: DataFrame) -> DataFrame:
 def route_fields(fields: DataFrame) -> DataFrame:
     """Type each field: ``kind``, and ``value`` or ``text``; else a ``reason``."""
     v, kind = F.col("v"), F.col("kind")
-    reason = F.when(F.col("corrupt").isNotNull(), F.lit("malformed_batch")).when(
-        kind.isNull(), F.lit("field_type")
+    timed = values.in_range(F.col("timestamp"))
+    reason = (
+        F.when(F.col("corrupt").isNotNull(), F.lit("malformed_batch"))
+        .when(~timed, F.lit("timestamp_range"))
+        .when(kind.isNull(), F.lit("field_type"))
     )
     number = F.when(kind == values.NUMBER, values.field_number(v))
-    return fields.withColumn("kind", values.field_kind(v)).withColumns(
+    return fields.withColumn("kind", F.when(timed, values.field_kind(v))).withColumns(
         {
             "reason": reason,
             "value": values.finite_or_null(number),

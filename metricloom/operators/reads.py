@@ -17,10 +17,6 @@ from metricloom.operators.matchers import (
 )
 from metricloom.sources.lake import Lake, in_period
 
-# First and last ms of the years 1 to 9999.
-MIN_MS = -62_135_596_800_000
-MAX_MS = 253_402_300_799_999
-
 # Longest series answered as one row, some 10 MB, and the most keys of longer
 # series to broadcast, some 1 MB.
 FRAME_SAMPLES = 500_000
@@ -47,7 +43,7 @@ def _numeric_series(lake: Lake) -> DataFrame:
 
 def _instant(ms: int) -> Column:
     # An open end comes as the smallest or largest integer; no timestamp does.
-    return F.timestamp_millis(F.lit(min(max(ms, MIN_MS), MAX_MS)))
+    return F.timestamp_millis(F.lit(min(max(ms, values.MIN_MS), values.MAX_MS)))
 
 
 def _range(start_ms: int, end_ms: int) -> Column:

@@ -22,13 +22,18 @@ def identify_series(
 
     Keys, hashes and tags are made here, once per series and before samples
     are exploded, so their cost does not grow with the samples. ``reason`` is
-    set on rows that cannot be stored.
+    set on rows that cannot be stored; samples whose time cannot be stored are
+    taken out and kept in ``refused``.
     """
     corrupt = F.col(CORRUPT) if CORRUPT in requests.columns else F.lit(None).cast("string")
     # "corrupt" is made to depend on the exploded column: a filter on it then
     # stays above the explode and never makes the JSON be parsed twice.
     series = (
-        requests.select(corrupt.alias("text"), F.explode_outer("timeseries").alias("s"))
+        requests.select(
+            corrupt.alias("text"),
+            # A record with any part of a wrong type is refused as a whole.
+            F.explode_outer(F.when(corrupt.isNull(), F.col("timeseries"))).alias("s"),
+        )
         .withColumn("corrupt", F.when(F.col("s").isNull(), F.col("text")))
         .where("s is not null or corrupt is not null")
     )
@@ -58,18 +63,24 @@ def identify_series(
             F.to_json(F.struct(F.col("raw_labels").alias("labels"), "samples")),
         ),
     )
+    far = F.filter("samples", lambda s: ~values.in_range(s["timestamp"]))
+    refused = F.when(
+        reason.isNull() & (F.size(far) > 0),
+        F.to_json(F.struct(F.col("raw_labels").alias("labels"), far.alias("samples"))),
+    )
     raw, pairs, folded = F.col("metric_raw"), F.col("pairs"), F.col("folded")
     return named.select(
         F.lit(SOURCE).alias("source"),
         F.lit(values.NUMBER).alias("kind"),
         names.escape_metric(raw).alias("metric"),
         "metric_raw",
-        identity.series_key(raw, pairs, folded, key_mode).alias("series_key"),
+        identity.series_key(raw, F.col("raw_labels"), folded, key_mode).alias("series_key"),
         identity.tag_hash(pairs, folded, tag_bytes, tag_limit).alias("taghash"),
         L.stored_entries(pairs, folded, tag_bytes, tag_limit).alias("entries"),
-        "samples",
+        F.filter("samples", lambda s: values.in_range(s["timestamp"])).alias("samples"),
         reason.alias("reason"),
         payload.alias("payload"),
+        refused.alias("refused"),
     )
 
 
@@ -102,10 +113,16 @@ def batch_of(
         points=explode_samples(good, first_only),
         text_points=None,
         series=distinct_series(good, keep_first=key_mode == "compat"),
-        rejected=rejects(rows),
+        rejected=rejects(rows).unionByName(
+            rows.where(F.col("refused").isNotNull()).select(
+                "source",
+                F.lit("timestamp_range").alias("reason"),
+                F.col("refused").alias("payload"),
+            )
+        ),
         counts={
             "points": F.coalesce(F.sum(stored), F.lit(0)),
-            "rejected": F.count("reason"),
+            "rejected": F.count("reason") + F.count("refused"),
         },
     )
 

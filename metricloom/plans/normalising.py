@@ -108,7 +108,7 @@ def _keyed(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     return _folded(spark, sf_dir).select(
         "event_id",
         identity.series_key(
-            L.metric_name(F.col("labels")), F.col("pairs"), F.col("entries"), mode
+            L.metric_name(F.col("labels")), F.col("labels"), F.col("entries"), mode
         ).alias("series_key"),
     )
 

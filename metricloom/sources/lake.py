@@ -31,6 +31,9 @@ LONGEST_PERIOD_DAYS = 31
 # A key row is about 150 bytes, so this is some 30 MB at most.
 BROADCAST_SERIES = 200_000
 
+# Batch id of what a compaction wrote; batches written by streams start at 0.
+COMPACTED = -1
+
 _BATCH = "stream string, batch_id bigint"
 _POINTS = "series_key string, ts timestamp, value {type}, " + _BATCH + ", period date, metric string"
 _SERIES = (
@@ -77,9 +80,18 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def next_batch(self, stream: str) -> int:
+        """The first batch id above all that the stream has written."""
+        found = [self.points(), self.points(values.TEXT), self.series(), self.rejected()]
+        last = [
+            t.where(F.col("stream") == stream).agg(F.max("batch_id")).first()[0]
+            for t in found
+        ]
+        return max([COMPACTED, *(n for n in last if n is not None)]) + 1
+
     def stage(self, rows: DataFrame, stream: str) -> DataFrame:
         """``rows`` written to the stream's staging table and read back."""
-        path = f"{self.root}/_staging/stream={stream}"
+        path = f"{self.root}/_staging/{stream}"
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -121,15 +133,17 @@ class Lake:
             series, f"series/{place}", ("metric",), ("metric", "series_key")
         )
 
-    def _write_points(self, points: DataFrame, place: str) -> None:
+    def _write_points(
+        self, points: DataFrame, place: str, above: tuple[str, ...] = ()
+    ) -> None:
         day = utc_day(F.col("ts"))
         period = F.trunc(day, "month") if self.grain == "month" else day
         self._overwrite(
             points.withColumn("period", period),
             place,
-            ("period", "metric"),
-            ("period", "metric", "ts", "series_key"),
-            ("period", "metric"),
+            (*above, "period", "metric"),
+            (*above, "period", "metric", "ts", "series_key"),
+            (*above, "period", "metric"),
         )
 
     def _overwrite(
@@ -182,32 +196,28 @@ def in_period(lo: Column, hi: Column) -> Column:
     )
 
 
-def compact(lake: Lake, target: Lake, stream: str = "compacted") -> None:
-    """Rewrite a whole lake as one batch of a new one.
+def compact(lake: Lake, target: Lake) -> None:
+    """Rewrite a lake into a new root, each stream as its batch ``COMPACTED``.
 
-    Readers move over by opening ``target`` once this returns; the old root is
-    left as it is.
+    Streams stay apart, as a series is registered once in each, with the tags
+    that stream stores. The batch comes before any that a stream writes, so
+    its series count as known and no later batch overwrites it. Readers move
+    over by opening ``target`` once this returns; the old root is left as it is.
     """
     if lake.root == target.root:
         raise ValueError("compact into a new root")
-    place = f"stream={stream}/batch_id=0"
-    series = (
-        lake.series()
-        .select(*SERIES_IDENTITY, F.map_entries("labels").alias("entries"), "created_at")
-        .groupBy(*SERIES_IDENTITY, "entries")
-        .agg(F.min("created_at").alias("created_at"))
-        .select(
-            *SERIES_IDENTITY,
-            F.map_from_entries("entries").alias("labels"),
-            "created_at",
-        )
+    own = F.lit(COMPACTED).cast("bigint").alias("batch_id")
+    batch = ("stream", "batch_id")
+    target._overwrite(
+        lake.series().select(*SERIES_IDENTITY, "labels", "created_at", "stream", own),
+        "series", ("stream", "metric"), (*batch, "metric", "series_key"), batch,
     )
-    target._write_series(series, place)
-    columns = ["metric", "series_key", "ts", "value"]
+    columns = ["metric", "series_key", "ts", "value", "stream"]
     for kind, table in ((values.NUMBER, "samples"), (values.TEXT, "samples_str")):
-        target._write_points(lake.points(kind).select(*columns), f"{table}/{place}")
-    rejected = lake.rejected().select("source", "reason", "payload")
-    target._overwrite(rejected, f"rejected/{place}", rebalance_by=())
+        points = lake.points(kind).select(*columns, own)
+        target._write_points(points, table, batch)
+    rejected = lake.rejected().select("source", "reason", "payload", "stream", own)
+    target._overwrite(rejected, "rejected", (), batch, batch)
 
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:

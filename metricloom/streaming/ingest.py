@@ -8,6 +8,7 @@ directories, so a batch that is run again after a failure replaces itself.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from typing import Any
 
@@ -39,21 +40,26 @@ def ingest_batch(
     lake: Lake,
     rows: DataFrame,
     source: str = remote.SOURCE,
-    batch_id: int = 0,
+    batch_id: int | None = None,
     options: IngestOptions = IngestOptions(),
     stream: str | None = None,
     created_at: Column | None = None,
 ) -> dict[str, int]:
     """Ingest one bounded set of requests or batches as batch ``batch_id``.
 
+    Without a ``batch_id`` it is the stream's next free one, so jobs that run
+    once each append; give one to replace a batch by running it again.
+
     Parsing and keying are most of the work, and up to four tables are written
     from their result. It is staged as a Parquet table beside the lake's, so
     the input is parsed once, no executor has to hold it, and a lost executor
-    costs a re-read. The stream's next batch overwrites the stage.
+    costs a re-read. A batch that is run again overwrites its stage.
     """
     stream = stream or source
+    if batch_id is None:
+        batch_id = lake.next_batch(stream)
     identified = identify(source, spread(rows, options.min_tasks), options)
-    staged = lake.stage(identified, stream)
+    staged = lake.stage(identified, f"stream={stream}/batch_id={batch_id}")
     if source == remote.SOURCE:
         batch = remote.batch_of(staged, options.key_mode, options.first_only)
     else:
@@ -92,9 +98,14 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start ingesting a streaming DataFrame.
 
-    Batch ids count per checkpoint: streams that share a lake need different
-    ``stream`` names. ``report`` gets each batch id with its row counts.
+    Batch ids count per checkpoint, and a batch overwrites its own id alone:
+    streams that share a lake need different ``stream`` names. The default
+    name has the checkpoint's digest, so a new checkpoint is a new stream and
+    leaves what an earlier one wrote. ``report`` gets each batch id with its
+    row counts.
     """
+    if stream is None:
+        stream = f"{source}-{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:12]}"
 
     def write(rows: DataFrame, batch_id: int) -> None:
         counts = ingest_batch(

@@ -151,16 +151,22 @@ def test_field_kind(spark, json, kind):
 
 def keys(spark, pairs, mode, metric="m"):
     def key(c):
-        renamed = L.renamed(c)
-        return identity.series_key(F.lit(metric), renamed, L.entries(renamed), mode)
+        renamed = L.renamed(L.tag_pairs(c))
+        return identity.series_key(F.lit(metric), c, L.entries(renamed), mode)
 
     return one(spark, pairs, PAIRS, key)
 
 
 def test_compat_key_is_the_hash_of_bare_values(spark):
     expected = "MD5_" + hashlib.md5(b"mabc").hexdigest()
-    assert keys(spark, [("x", "ab"), ("y", "c")], "compat") == expected
-    assert keys(spark, [("x", "a"), ("y", "bc")], "compat") == expected
+    name = ("__name__", "m")
+    assert keys(spark, [name, ("x", "ab"), ("y", "c")], "compat") == expected
+    assert keys(spark, [name, ("x", "a"), ("y", "bc")], "compat") == expected
+
+
+def test_compat_key_takes_the_name_where_it_stands(spark):
+    expected = "MD5_" + hashlib.md5(b"xup").hexdigest()
+    assert keys(spark, [("App", "x"), ("__name__", "up")], "compat", metric="up") == expected
 
 
 def test_exact_key_tells_sets_apart_and_ignores_order(spark):
@@ -180,7 +186,7 @@ def test_exact_key_tells_sets_apart_and_ignores_order(spark):
 def test_exact_key_is_injective(spark, sets):
     def key(c):
         renamed = L.renamed(c)
-        return identity.series_key(F.lit("m"), renamed, L.entries(renamed))
+        return identity.series_key(F.lit("m"), c, L.entries(renamed))
 
     got = many(spark, [list(s.items()) for s in sets], PAIRS, key)
     distinct = {tuple(sorted(s.items())) for s in sets}
