@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Target shares of the mixture; ``OTHERS`` share theirs in proportion to size.
 WEIGHTS = {"src0": 0.2, "src1": 0.06, "src2": 0.06, "src3": 0.06}
@@ -35,15 +35,20 @@ def uniform(key: Column, seed: str) -> Column:
 
 def poisson(u: Column, mean: Column) -> Column:
     """Inverse of the Poisson distribution: how many partial sums lie below ``u``."""
-    start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"), F.lit(0).alias("n"))
+    # Columns go in by the state: one that only a lambda names is lost to the
+    # optimizer when it moves a filter on the result below a join.
+    own = [u.alias("u"), mean.alias("mean")]
+    start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"), F.lit(0).alias("n"), *own)
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(MOST)),
         start,
-        lambda s, k: F.when(s["cdf"] >= u, s).otherwise(
+        lambda s, k: F.when(s["cdf"] >= s["u"], s).otherwise(
             F.struct(
-                (s["p"] * mean / k).alias("p"),
-                (s["cdf"] + s["p"] * mean / k).alias("cdf"),
+                (s["p"] * s["mean"] / k).alias("p"),
+                (s["cdf"] + s["p"] * s["mean"] / k).alias("cdf"),
                 k.alias("n"),
+                s["u"].alias("u"),
+                s["mean"].alias("mean"),
             )
         ),
         lambda s: s["n"],
@@ -53,12 +58,13 @@ def poisson(u: Column, mean: Column) -> Column:
 def rates(rows: DataFrame, weights: dict[str, float], others: float, epochs: float) -> DataFrame:
     """(group, rate): mean repetitions of a text of each named source and of the rest."""
     sizes = rows.groupBy("group").agg(F.sum("size").alias("size"))
-    total = sizes.agg(F.sum("size").alias("total"))
+    # A handful of rows, one for each weight.
+    total = F.sum("size").over(Window.partitionBy(F.lit(0)))
     share = reduce(
         lambda out, item: out.when(F.col("group") == item[0], F.lit(float(item[1]))),
         weights.items(), F.when(F.col("group") == OTHERS, F.lit(float(others))),
     )
-    present = sizes.join(F.broadcast(total)).where("size > 0")
+    present = sizes.withColumn("total", total)
     rate = share * F.col("total") * epochs / F.col("size")
     return present.select("group", F.least(rate, F.lit(MAX_RATE)).alias("rate"))
 

@@ -79,7 +79,9 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             gender = "f" if m["female"] else "m"
             for part in ("given", "family") if m["family"] else ("family",):
                 group = part if m["family"] else "given"
-                names[m[group]] = f"name:{part}:{gender}"
+                # Family names have a gender in Cyrillic script only.
+                own = gender if part == "given" or _is_cyrillic(m[group]) else "x"
+                names[m[group]] = f"name:{part}:{own}"
                 found.append((m.start(group), m.end(group), names[m[group]], m[group].casefold()))
             continue
         if kind == "secret":
@@ -160,10 +162,14 @@ _CYRILLIC = ["ба", "бе", "во", "га", "да", "де", "за", "зо", "к
              "на", "не", "но", "па", "по", "ра", "ре", "ро", "са", "се", "со", "та", "те", "то", "ва", "ви"]
 
 
+def _is_cyrillic(name: str) -> bool:
+    return any("\u0400" <= c <= "\u04ff" for c in name)
+
+
 def spelled(key: bytes, kind: str, value: str, draw: int) -> str:
     """A name of the same part, gender and script, in lower case."""
     _, part, gender = kind.split(":")
-    cyrillic = any("\u0400" <= c <= "\u04ff" for c in value)
+    cyrillic = _is_cyrillic(value)
     syllables = _CYRILLIC if cyrillic else _LATIN
     n = _number(key, kind if part == "given" else "name:family", value, draw)
     count = 4 if part == "given" else 6
