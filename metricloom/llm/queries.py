@@ -102,4 +102,19 @@ QUERIES = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_url_filter": """
+        WITH r(verdict, host, path) AS (VALUES
+               ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+               ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+             u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+                   FROM pages),
+             p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+        SELECT p.page_id, p.host, p.path,
+               arg_max(r.host || r.path, strlen(r.host || r.path)) AS "rule",
+               coalesce(arg_max(r.verdict, strlen(r.host || r.path)), 'allow') AS verdict
+        FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+        GROUP BY ALL""",
+}
