@@ -117,4 +117,12 @@ ORACLES: dict[str, str] = {
                coalesce(arg_max(r.verdict, strlen(r.host || r.path)), 'allow') AS verdict
         FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
         GROUP BY ALL""",
+    "op3_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+             m AS (SELECT page_id, strlen(html) AS n, sha1(html) AS digest,
+                          max(page_id) OVER (PARTITION BY html) AS holder FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to
+        FROM m""",
 }
