@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metricloom.functions import labels as L, values
@@ -17,12 +14,8 @@ from metricloom.operators.matchers import (
 )
 from metricloom.sources.lake import Lake, in_period
 
-# Longest series answered as one row, some 10 MB, and the most keys of longer
-# series to broadcast, some 1 MB.
-FRAME_SAMPLES = 500_000
-BROADCAST_HOT = 10_000
-
-MAX_QUERIES = 5_000
+# Time a row of a series covers; callers with denser series give less.
+FRAME_MS = 86_400_000
 
 SERIES_KEYS = ["stream", "metric", "series_key"]
 
@@ -46,6 +39,14 @@ def _instant(ms: int) -> Column:
     return F.timestamp_millis(F.lit(min(max(ms, values.MIN_MS), values.MAX_MS)))
 
 
+def _any(conditions: Sequence[Column]) -> Column:
+    """Their disjunction as a balanced tree: its depth is a logarithm of their number."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:])
+
+
 def _range(start_ms: int, end_ms: int) -> Column:
     lo, hi = _instant(start_ms), _instant(end_ms)
     return F.col("ts").between(lo, hi) & in_period(lo, hi)
@@ -93,7 +94,7 @@ def read_many(
             ]
         )
     )
-    any_metric = reduce(or_, [w.metric for w in wanted])
+    any_metric = _any([w.metric for w in wanted])
     series = (
         _numeric_series(lake)
         .where(any_metric)
@@ -117,11 +118,9 @@ def queries_of(requests: DataFrame) -> list[Query]:
     """Queries of ``sources.remote.read_requests`` rows, in ``query_id`` order.
 
     A read request is the text of a read, so its queries become part of the
-    plan. Thousands are fine; more are refused, to be read in several calls.
+    plan, which grows with their number.
     """
-    rows = requests.orderBy("query_id").limit(MAX_QUERIES + 1).collect()
-    if len(rows) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries in one read")
+    rows = requests.orderBy("query_id").collect()
     return [
         Query(
             row["start_ms"],
@@ -133,54 +132,40 @@ def queries_of(requests: DataFrame) -> list[Query]:
     ]
 
 
-def _hot(points: DataFrame, keys: list[str], frame_samples: int) -> DataFrame | None:
-    """Keys of the series too long for one row, or None when there are none."""
-    hot = (
-        points.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > frame_samples)
-        .select(*keys)
-    )
-    listed = hot.limit(BROADCAST_HOT + 1).collect()
-    if not listed:
-        return None
-    if len(listed) > BROADCAST_HOT:
-        return hot
-    return F.broadcast(points.sparkSession.createDataFrame(listed, hot.schema))
+def label_set(points: DataFrame) -> DataFrame:
+    """``points`` with ``labels`` as the pairs a read answers, the name first."""
+    return points.withColumn("labels", L.to_label_pairs(F.col("metric"), F.col("labels")))
 
 
 def series_frames(
-    points: DataFrame, by: Sequence[str] = (), frame_samples: int = FRAME_SAMPLES
+    points: DataFrame, by: Sequence[str] = (), frame_ms: int = FRAME_MS
 ) -> DataFrame:
     """Points grouped to series rows, samples in time order.
 
-    A series of up to ``frame_samples`` samples is one row. A longer one stays
-    whole as several rows, its *frames*: each holds what one task had of the
-    series, so no frame outgrows a task's input however long the series is or
-    how often a point repeats, and it is gathered before the shuffle. Series
-    are counted first to tell; that pass combines map-side and needs no values.
-    ``by`` adds grouping columns such as ``query_id``.
+    A series is a stored label set: keys that differ before labels are cut or
+    cleaned, and not after, are one series. Each row is a *frame*, the samples
+    of one series from ``frame_start`` for ``frame_ms``; frames start at
+    multiples of ``frame_ms`` since 1970. So rows are the same at any size and
+    under any partitioning, and frames in order of ``frame_start`` are the
+    series in time order. Samples of equal time are ordered by value, nulls
+    first. ``by`` adds grouping columns such as ``query_id``.
     """
-    keys = [*by, "metric", "series_key"]
-    hot = _hot(points, keys, frame_samples)
-    if hot is None:
-        framed = points.withColumn("frame", F.lit(0))
-    else:
-        # The task is noted before the join, which may bring a series together.
-        placed = points.withColumn("task", F.spark_partition_id() + 1)
-        framed = placed.join(hot.withColumn("hot", F.lit(True)), keys, "left").withColumn(
-            "frame", F.when(F.col("hot"), F.col("task")).otherwise(0)
-        )
+    if frame_ms < 1:
+        raise ValueError("a frame covers one millisecond or more")
+    ms = F.unix_millis("ts")
+    keys = [*by, "labels", "frame_start"]
+    framed = label_set(points).withColumn("frame_start", F.timestamp_millis(ms - F.pmod(ms, F.lit(frame_ms))))
     return (
-        framed.groupBy(*keys, "frame")
+        framed.groupBy(*keys)
         .agg(
-            F.first("labels").alias("labels"),
+            F.min("metric").alias("metric"),
             F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("samples"),
         )
         .select(
-            *keys,
-            "frame",
-            L.to_label_pairs(F.col("metric"), F.col("labels")).alias("labels"),
+            *by,
+            "metric",
+            "labels",
+            "frame_start",
             F.element_at("samples", 1)["ts"].alias("first_ts"),
             F.element_at("samples", -1)["ts"].alias("last_ts"),
             "samples",
@@ -188,20 +173,20 @@ def series_frames(
     )
 
 
-def read_series(lake: Lake, query: Query, options: Options = Options()) -> DataFrame:
-    """Series rows that a query selects."""
-    return series_frames(read_points(lake, query, options))
+def read_series(
+    lake: Lake, query: Query, options: Options = Options(), frame_ms: int = FRAME_MS
+) -> DataFrame:
+    """Series rows that a query selects, one for each frame."""
+    return series_frames(read_points(lake, query, options), frame_ms=frame_ms)
 
 
 def series_count(points: DataFrame) -> DataFrame:
-    """Number of series among ``points``."""
-    return points.select("metric", "series_key").distinct().agg(
-        F.count(F.lit(1)).alias("series")
-    )
+    """Number of series, that is of stored label sets, among ``points``."""
+    return label_set(points).select("labels").distinct().agg(F.count(F.lit(1)).alias("series"))
 
 
 def write_series(frames: DataFrame, path: str, fmt: str = "json") -> None:
-    """Write series rows as a read answers them: labels and samples in ms."""
+    """Write series rows as a read answers them: labels, frame start and samples in ms."""
     sample = F.transform(
         "samples",
         lambda s: F.struct(
@@ -209,6 +194,7 @@ def write_series(frames: DataFrame, path: str, fmt: str = "json") -> None:
         ),
     )
     by = ["query_id"] if "query_id" in frames.columns else []
-    frames.select(*by, "labels", sample.alias("samples")).write.mode(
+    start = values.to_ms(F.col("frame_start")).alias("frame_start")
+    frames.select(*by, "labels", start, sample.alias("samples")).write.mode(
         "overwrite"
     ).format(fmt).save(path)

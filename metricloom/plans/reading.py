@@ -89,43 +89,40 @@ def read_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole series of the selection, folded from their frames."""
+    """Series rows of the selection as the operator gives them, one a day."""
     frames = reads.read_series(T.lake_of(spark, sf_dir), SELECT_QUERY)
-    low = F.array_min(F.transform("samples", lambda s: s["value"]))
-    high = F.array_max(F.transform("samples", lambda s: s["value"]))
-    return (
-        frames.select(
-            T.entry_text(F.col("labels")).alias("labels"),
-            F.size("samples").alias("n"),
-            values.to_ms(F.col("first_ts")).alias("first_ms"),
-            values.to_ms(F.col("last_ts")).alias("last_ms"),
-            low.alias("low"),
-            high.alias("high"),
-        )
-        .groupBy("labels")
-        .agg(
-            F.sum("n").alias("samples"),
-            F.min("first_ms").alias("first_ms"),
-            F.max("last_ms").alias("last_ms"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-        )
+    value = F.transform("samples", lambda s: s["value"])
+    return frames.select(
+        T.entry_text(F.col("labels")).alias("labels"),
+        values.to_ms(F.col("frame_start")).alias("frame_ms"),
+        F.size("samples").cast("long").alias("samples"),
+        values.to_ms(F.col("first_ts")).alias("first_ms"),
+        values.to_ms(F.col("last_ts")).alias("last_ms"),
+        F.array_min(value).alias("low"),
+        F.array_max(value).alias("high"),
     )
 
 
 def series_response(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The answer of a read written as nested JSON and read back."""
+    """The answer of a read written as nested JSON and read back, with samples' places."""
     path = work_dir(spark, "response")
     reads.write_series(reads.read_series(T.lake_of(spark, sf_dir), SELECT_QUERY), path)
     schema = (
-        "labels array<struct<name:string,value:string>>, "
+        "labels array<struct<name:string,value:string>>, frame_start bigint, "
         "samples array<struct<value:double,timestamp:bigint>>"
     )
     return (
         spark.read.schema(schema)
         .json(path)
-        .select(T.entry_text(F.col("labels")).alias("labels"), F.explode("samples").alias("s"))
-        .select("labels", F.col("s.timestamp").alias("ms"), F.col("s.value").alias("value"))
+        .select(
+            T.entry_text(F.col("labels")).alias("labels"),
+            F.col("frame_start").alias("frame_ms"),
+            F.posexplode("samples").alias("position", "s"),
+        )
+        .select(
+            "labels", "frame_ms", F.col("position").cast("long").alias("position"),
+            F.col("s.timestamp").alias("ms"), F.col("s.value").alias("value"),
+        )
     )
 
 
@@ -222,15 +219,15 @@ QUERIES = {
     "describe_metric": describe_metric,
     "describe_agent_metric": describe_agent_metric,
     "read_name_eq": _read(("EQ", "__name__", "app:click")),
-    "read_name_neq": _read(("NEQ", "__name__", "app_click"), ("RE", "user", "^u")),
+    "read_name_neq": _read(("NEQ", "__name__", "app_click")),
     "read_name_re": _read(("RE", "__name__", "cli|ew$")),
-    "read_name_nre": _read(("NRE", "__name__", "cli|ew$"), ("RE", "user", "^u")),
+    "read_name_nre": _read(("NRE", "__name__", "cli|ew$")),
     "read_label_eq": _read(ANY_NAME, ("EQ", "tier", "x")),
     "read_label_eq_empty": _read(ANY_NAME, ("EQ", "tier", "")),
     "read_label_neq": _read(ANY_NAME, ("NEQ", "tier", "x")),
     "read_label_neq_promql": _read(ANY_NAME, ("NEQ", "tier", "x"), options=Options(promql=True)),
     "read_label_re": _read(ANY_NAME, ("RE", "tier", "x|q")),
-    "read_label_re_anchored": _read(ANY_NAME, ("RE", "zone", "zone"), options=Options(anchored=True)),
+    "read_label_re_anchored": _read(("RE", "__name__", "app_.*"), ("RE", "zone", "one-1|zone-[23]"), options=Options(anchored=True)),
     "read_label_nre": _read(ANY_NAME, ("NRE", "tier", "x|q")),
     "read_range": _read(ANY_NAME, span=RANGE),
     "read_select": read_select,
@@ -249,6 +246,10 @@ QUERIES = {
 _E = "WITH " + T.EVENTS_SQL
 _A = "WITH " + T.AGENT_SQL
 _POINTS = f'{_E} SELECT metric, "user", zone, tier, ms, value FROM e'
+_EVERY_POINT = f'''{_E}, {T.AGENT_SQL},
+    p AS (SELECT metric, "user", zone, tier, ms, value FROM e
+          UNION ALL SELECT metric, NULL, NULL, NULL, ms, num FROM f WHERE kind = 'double')
+    SELECT * FROM p'''
 _IN_RANGE = f"ms BETWEEN {RANGE[0]} AND {RANGE[1]}"
 _SELECTED = f"""regexp_matches(metric, 'click|view|purchase') AND "user" <> 'u7'
     AND regexp_matches(zone, 'zone-[0-3]$') AND NOT regexp_matches(zone, '2')
@@ -297,24 +298,28 @@ ORACLES = {
             AS v(position, field, type, length, note)
         WHERE EXISTS (SELECT 1 FROM orders)""",
     "read_name_eq": f"{_POINTS} WHERE metric = 'app_click'",
-    "read_name_neq": f"{_POINTS} WHERE metric <> 'app_click'",
+    "read_name_neq": f"{_EVERY_POINT} WHERE metric <> 'app_click'",
     "read_name_re": f"{_POINTS} WHERE regexp_matches(metric, 'cli|ew$')",
-    "read_name_nre": f"{_POINTS} WHERE NOT regexp_matches(metric, 'cli|ew$')",
+    "read_name_nre": f"{_EVERY_POINT} WHERE NOT regexp_matches(metric, 'cli|ew$')",
     "read_label_eq": f"{_POINTS} WHERE tier = 'x'",
     "read_label_eq_empty": f"{_POINTS} WHERE coalesce(tier, '') = ''",
     "read_label_neq": f"{_POINTS} WHERE tier <> 'x'",
     "read_label_neq_promql": f"{_POINTS} WHERE coalesce(tier, '') <> 'x'",
     "read_label_re": f"{_POINTS} WHERE regexp_matches(coalesce(tier, ''), 'x|q')",
-    "read_label_re_anchored": f"{_POINTS} WHERE regexp_full_match(zone, 'zone')",
+    "read_label_re_anchored": f"{_POINTS} WHERE regexp_full_match(zone, 'one-1|zone-[23]')",
     "read_label_nre": f"{_POINTS} WHERE NOT regexp_matches(coalesce(tier, ''), 'x|q')",
     "read_range": f"{_POINTS} WHERE {_IN_RANGE}",
     "read_select": f"{_POINTS} WHERE {_SELECTED}",
     "read_ordered": f"{_POINTS} WHERE {_SELECTED}",
     "read_series": f"""{_E}
-        SELECT {_LABELS} AS labels, count(*) AS samples, min(ms) AS first_ms, max(ms) AS last_ms,
+        SELECT {_LABELS} AS labels, ms - ms % {reads.FRAME_MS} AS frame_ms, count(*) AS samples, min(ms) AS first_ms, max(ms) AS last_ms,
                min(value) AS low, max(value) AS high
         FROM e WHERE {_SELECTED} GROUP BY ALL""",
-    "series_response": f"{_E} SELECT {_LABELS} AS labels, ms, value FROM e WHERE {_SELECTED}",
+    "series_response": f"""{_E},
+        s AS (SELECT {_LABELS} AS labels, ms - ms % {reads.FRAME_MS} AS frame_ms, ms, value FROM e WHERE {_SELECTED})
+        SELECT labels, frame_ms, ms, value,
+               row_number() OVER (PARTITION BY labels, frame_ms ORDER BY ms, value NULLS FIRST) - 1 AS position
+        FROM s""",
     "read_series_count": f"""{_E}
         SELECT count(DISTINCT {_LABELS}) AS series FROM e WHERE {_SELECTED}""",
     "read_multi": f'{_MULTI} SELECT query_id, metric, "user", zone, tier, ms, value FROM m',

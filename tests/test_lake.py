@@ -137,27 +137,47 @@ def test_hot_metric_is_written_by_many_tasks(spark, root):
     assert lake.points().select("series_key").distinct().count() == 200_000
 
 
-@pytest.mark.parametrize("broadcast", [0, 10_000])
-def test_hot_series_comes_as_bounded_frames_that_lose_nothing(spark, broadcast, monkeypatch):
-    monkeypatch.setattr(reads, "BROADCAST_HOT", broadcast)
+@pytest.mark.parametrize("tasks", [1, 4, 64])
+def test_frames_of_a_hot_series_do_not_depend_on_partitions(spark, tasks):
     hot = spark.range(0, 30_000, 1, 8).select(
         F.lit("m").alias("metric"),
         F.when(F.col("id") % 3 == 0, F.col("id") % 10).otherwise(-1).cast("string").alias("series_key"),
-        F.timestamp_millis((F.col("id") * 7919) % 5000).alias("ts"),
+        F.timestamp_millis((F.col("id") * 7919) % 5000 - 700).alias("ts"),
         F.col("id").cast("double").alias("value"),
     ).withColumn("labels", F.create_map(F.lit("k"), "series_key"))
-    frames = reads.series_frames(hot, frame_samples=2000).cache()
-    sizes = [r.n for r in frames.where("series_key = '-1'").select(F.size("samples").alias("n")).collect()]
-    assert sum(sizes) == 20_000
-    assert len(sizes) == 8 and max(sizes) <= 30_000 // 8
-    assert frames.where("series_key <> '-1'").count() == 10, "short series stay one row"
-    back = frames.select("series_key", F.explode("samples").alias("s")).select("series_key", "s.ts", "s.value")
-    assert rows(back) == rows(hot.select("series_key", "ts", "value"))
-    for frame in frames.collect():
-        times = [s["ts"] for s in frame.samples]
-        assert times == sorted(times)
-        assert (frame.first_ts, frame.last_ts) == (times[0], times[-1])
-        assert [tuple(p) for p in frame.labels] == [("__name__", "m"), ("k", frame.series_key)]
+    frames = reads.series_frames(hot.repartition(tasks), frame_ms=1000).collect()
+    expected = {}
+    for p in hot.select("series_key", F.unix_millis("ts").alias("ms"), "value").collect():
+        expected.setdefault((p.series_key, p.ms // 1000 * 1000), []).append((p.ms, p.value))
+    got = {}
+    for frame in frames:
+        assert frame.labels[0] == ("__name__", "m")
+        samples = [(round(s["ts"].timestamp() * 1000), s["value"]) for s in frame.samples]
+        assert (frame.first_ts, frame.last_ts) == (frame.samples[0]["ts"], frame.samples[-1]["ts"])
+        got[frame.labels[1]["value"], round(frame.frame_start.timestamp() * 1000)] = samples
+    assert len(got) == len(frames)
+    assert got == {k: sorted(v) for k, v in expected.items()}
+
+
+def test_equal_stored_label_sets_are_one_series(spark, root):
+    lake = Lake(spark, root)
+    ingest_batch(lake, requests(
+        spark,
+        series("a:b", [("k", 'x"y')], [(1, 1.0)]),
+        series("a_b", [("k", "x'y")], [(2, 2.0)]),
+    ))
+    assert lake.series().count() == 2
+    points = reads.read_points(lake, EVERY)
+    assert reads.series_count(points).first().series == 1
+    (row,) = reads.read_series(lake, EVERY).collect()
+    assert [s["value"] for s in row.samples] == [1.0, 2.0]
+
+
+def test_many_requests_are_planned(spark, root):
+    lake = Lake(spark, root)
+    ingest_batch(lake, requests(spark, series("m", [("h", "1")], [(1, 1.0)])))
+    queries = [Query.of(0, 10, ("EQ", "__name__", "m"), ("EQ", "h", str(i % 2))) for i in range(400)]
+    assert reads.read_many(lake, queries).count() == 200
 
 
 def test_small_read_gives_one_row_per_series(spark, root):
@@ -200,11 +220,13 @@ def test_read_requests_and_written_answer(spark, root, tmp_path):
     frames = reads.series_frames(reads.read_many(lake, queries), ["query_id"])
     reads.write_series(frames, root + "/answer")
     answer = [json.loads(line) for line in spark.read.text(root + "/answer").toPandas()["value"]]
+    answer.sort(key=lambda row: row["frame_start"])
     assert answer == [{
         "query_id": 4,
         "labels": [{"name": "__name__", "value": "go_goroutines"}, {"name": "job", "value": "prometheus"}],
-        "samples": [{"value": 1.0, "timestamp": 1618085130781}, {"value": 2.0, "timestamp": 1619863860781}],
-    }]
+        "frame_start": day * DAY,
+        "samples": [{"value": value, "timestamp": ms}],
+    } for ms, value in ((1618085130781, 1.0), (1619863860781, 2.0)) for day in [ms // DAY]]
 
 
 def agent_payload(i, **fields):
