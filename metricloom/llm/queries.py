@@ -102,7 +102,75 @@ QUERIES = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
+def _lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _js_sql() -> str:
+    """``js(r, kind, distance)`` of the histograms ``ch`` and ``cm`` of ``h``."""
+    return """
+             hist AS (SELECT r, lang, 'c' AS kind, unnest(ch) AS v, generate_subscripts(ch, 1) AS i FROM h
+                      UNION ALL
+                      SELECT r, lang, 'w', unnest(cm), generate_subscripts(cm, 1) FROM h WHERE cm IS NOT NULL),
+             sums AS (SELECT lang, kind, i, sum(v) AS v FROM hist JOIN c USING (lang) GROUP BY ALL),
+             ref AS (SELECT lang, kind, i, v / sum(v) OVER (PARTITION BY lang, kind) AS q FROM sums),
+             p AS (SELECT r, lang, kind, i, v / nullif(sum(v) OVER (PARTITION BY r, kind), 0) AS p FROM hist),
+             js AS (SELECT r, kind, sqrt(greatest(0, sum(
+                        CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS distance
+                    FROM p JOIN ref USING (lang, kind, i) GROUP BY r, kind)"""
+
+
+_COMMON_ROWS = ", ".join(f"('{lang}', {words})" for lang, words in quality.COMMON_WORDS.items())
+
 ORACLES: dict[str, str] = {
+    "op6_distribution_divergence": rf"""
+        WITH c(lang, list) AS (VALUES {_COMMON_ROWS}),
+             d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             k AS (SELECT *, [length(regexp_replace(t, x, '', 'g')) FOR x IN
+                              ['[^a-z]+', '[^\x20\x09-\x0D]+', '[^A-Z]+', '[^0-9]+', '[^.,;:!?''"()\-]+', '[\x00-\x7F]+']] AS six
+                   FROM d LEFT JOIN c USING (lang)),
+             h AS (SELECT r, lang, six || [length(t) - list_sum(six)] AS ch,
+                          CASE WHEN list IS NOT NULL THEN [len(list_filter(w, lambda y: y = x)) FOR x IN list]
+                               || [len(list_filter(w, lambda y: NOT list_contains(list, y)))] END AS cm FROM k),
+             {_js_sql()},
+             g AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, e) AS n
+                   FROM (SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS e
+                         FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d))),
+             m AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(i, i + 3)) AS place FROM g WHERE n > 1) GROUP BY r),
+             l AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+                   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+             b AS (SELECT r, doc_id, length(t) AS n_chars, CAST(len(w) AS BIGINT) AS n_words,
+                          CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                          CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+                          coalesce(l.n, 0) AS n_dup_lines, coalesce(m.n, 0) AS n_repeat_words,
+                          len(w) < 50 OR 100 * coalesce(m.n, 0) > 50 * len(w) AS base_failed
+                   FROM d LEFT JOIN m USING (r) LEFT JOIN l USING (r))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed
+               AND (n_chars < {quality.MIN_CHARS_JUDGED} OR coalesce(jc.distance <=
+                    {quality.CHAR_LIMIT} + {quality.CHAR_SLACK} / sqrt(n_chars), true))
+               AND (n_words < {quality.MIN_WORDS_JUDGED} OR coalesce(jw.distance <=
+                    {quality.WORD_LIMIT} + {quality.WORD_SLACK} / sqrt(n_words), true)) AS kept
+        FROM b LEFT JOIN (FROM js WHERE kind = 'c') AS jc USING (r) LEFT JOIN (FROM js WHERE kind = 'w') AS jw USING (r)""",
+    "op10_benchmark_decontamination": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                          regexp_extract_all({_lower("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                   FROM documents),
+             i AS (SELECT item_id, regexp_extract_all({_lower("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                   FROM benchmark),
+             iw AS (SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS g
+                    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+             dw AS (SELECT r, s, k, array_to_string(w[s:s + k - 1], ' ') AS g
+                    FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM iw))),
+             h AS (SELECT r, s, k, item_id FROM dw JOIN iw USING (k, g)),
+             n AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS place FROM h) GROUP BY r),
+             m AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+                   FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+        FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)""",
     "op2_url_filter": """
         WITH r(verdict, host, path) AS (VALUES
                ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
