@@ -123,7 +123,45 @@ def _js_sql() -> str:
 
 _COMMON_ROWS = ", ".join(f"('{lang}', {words})" for lang, words in quality.COMMON_WORDS.items())
 
+def _shares() -> str:
+    """Target shares as branches of a CASE on the group; the rest share what is left."""
+    named = " ".join(f"WHEN '{name}' THEN {share!r}::DOUBLE" for name, share in mixing.WEIGHTS.items())
+    return f"CASE grp {named} ELSE {1 - sum(mixing.WEIGHTS.values())!r}::DOUBLE END"
+
+
 ORACLES: dict[str, str] = {
+    "op1_poisson_mixing": f"""
+        WITH d AS (SELECT doc_id, source, lang, text,
+                          coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) AS key,
+                          CASE WHEN source IN {tuple(mixing.WEIGHTS)} THEN source ELSE '*' END AS grp,
+                          greatest(strlen(coalesce(text, '')), 1) AS size FROM documents),
+             q AS (SELECT grp, least({_shares()} * total * {mixing.EPOCHS}::DOUBLE / size, {mixing.MAX_RATE}::DOUBLE) AS rate
+                   FROM (SELECT grp, CAST(sum(size) AS DOUBLE) AS size,
+                                CAST((SELECT sum(size) FROM d) AS DOUBLE) AS total FROM d GROUP BY grp)),
+             k AS (SELECT grp, i, sum(exp(i * ln(rate) - rate - lgamma(i + 1))) OVER (PARTITION BY grp ORDER BY i) AS cdf
+                   FROM q, range(0, {mixing.MOST}) AS t(i)),
+             c AS (SELECT grp, list(cdf) AS cdfs FROM k GROUP BY grp),
+             u AS (SELECT *, (CAST('0x' || substr(md5('{mixing.SEED}|' || key), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+                             / 4503599627370496 AS u FROM d),
+             n AS (SELECT *, len([x FOR x IN cdfs IF x < u]) AS n FROM u JOIN c USING (grp) JOIN q USING (grp)),
+             m AS (SELECT *, CAST(unnest(range(1, n + 1)) AS INTEGER) AS copy FROM n)
+        SELECT doc_id, source, lang, text, copy, rate,
+               md5('{mixing.SEED}/order|' || key || '|' || CAST(copy AS VARCHAR)) AS place FROM m""",
+    "op7_ngram_jaccard_join": rf"""
+        WITH RECURSIVE
+             d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id,
+                          regexp_extract_all({_lower("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS MATERIALIZED (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g
+                   FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+             n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+             p AS (SELECT a.r AS x, b.r AS y, count(*) AS k FROM s AS a JOIN s AS b USING (g) WHERE a.r < b.r GROUP BY ALL),
+             l AS MATERIALIZED (SELECT x, y FROM p JOIN n AS nx ON nx.r = x JOIN n AS ny ON ny.r = y
+                   WHERE 100 * k >= 85 * (nx.n + ny.n - k)),
+             e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+             reach AS (SELECT r AS x, r AS y FROM d
+                       UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x),
+             c AS (SELECT x AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = y GROUP BY x)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN c USING (r) LEFT JOIN n USING (r)""",
     "op6_distribution_divergence": rf"""
         WITH c(lang, list) AS (VALUES {_COMMON_ROWS}),
              d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
