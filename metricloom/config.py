@@ -13,8 +13,9 @@ class IngestOptions:
 
     ``batch_size`` bounds the files a micro-batch takes. ``key_mode`` is
     ``exact`` or ``compat``; ``first_only`` stores only the first sample of
-    each incoming series. A batch that arrives in fewer than ``min_tasks``
-    splits is spread over that many tasks before it is parsed.
+    each incoming series. Input that cannot be split, such as one gzip file or
+    one row group, is parsed by few tasks; ``input_tasks`` shuffles it to that
+    many first. Other input needs none.
     """
 
     namespace: str = fixed.REMOTE_NAMESPACE
@@ -23,7 +24,7 @@ class IngestOptions:
     tag_limit: int = fixed.TAGS_PER_SERIES
     key_mode: str = "exact"
     first_only: bool = False
-    min_tasks: int = 8
+    input_tasks: int | None = None
 
     @classmethod
     def for_agent(cls, **changes) -> IngestOptions:

@@ -186,6 +186,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake,
         T.as_requests(T.with_labels(events)),
         work_dir(spark, "checkpoint"),
+        options=IngestOptions(input_tasks=spark.sparkContext.defaultParallelism),
         trigger={"availableNow": True},
     ).awaitTermination()
     return _flat(reads.read_points(lake, Query.of(*ALL, ANY_NAME)))
@@ -204,7 +205,7 @@ def agent_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.order_batches(orders),
         work_dir(spark, "checkpoint"),
         source="agent",
-        options=IngestOptions.for_agent(),
+        options=IngestOptions.for_agent(input_tasks=spark.sparkContext.defaultParallelism),
         trigger={"availableNow": True},
     ).awaitTermination()
     wide = catalog.wide_view(lake, "_order_str")

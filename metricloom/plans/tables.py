@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metricloom.config import IngestOptions
 from metricloom.functions import labels as L
-from metricloom.session import spread, work_dir
+from metricloom.session import work_dir
 from metricloom.sources.agent import parse_agent_batches
 from metricloom.sources.lake import Lake
 from metricloom.sources.remote import SERIES_ARRAY
@@ -27,10 +27,9 @@ _lakes: dict[tuple[str, str], Lake] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(
-        spark.read.parquet(f"{sf_dir}/{name}.parquet"),
-        spark.sparkContext.defaultParallelism,
-    )
+    """A table of one file and row group, dealt out to all cores."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _label(name: str, value: Column) -> Column:

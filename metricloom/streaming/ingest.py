@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from metricloom.config import IngestOptions
 from metricloom.operators import agent, remote
-from metricloom.session import spread
 from metricloom.sources.agent import read_agent_batches
 from metricloom.sources.lake import Lake
 from metricloom.sources.remote import read_write_requests
@@ -58,7 +57,9 @@ def ingest_batch(
     stream = stream or source
     if batch_id is None:
         batch_id = lake.next_batch(stream)
-    identified = identify(source, spread(rows, options.min_tasks), options)
+    if options.input_tasks:
+        rows = rows.repartition(options.input_tasks)
+    identified = identify(source, rows, options)
     staged = lake.stage(identified, f"stream={stream}/batch_id={batch_id}")
     if source == remote.SOURCE:
         batch = remote.batch_of(staged, options.key_mode, options.first_only)

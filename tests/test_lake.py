@@ -13,7 +13,7 @@ from metricloom.operators.matchers import Query
 from metricloom.sources import lake as lake_module
 from metricloom.sources.lake import Lake, compact, ensure_namespace
 from metricloom.sources.remote import read_requests, read_write_requests
-from metricloom.session import spread, work_dir
+from metricloom.session import work_dir
 from metricloom.streaming.ingest import follow, ingest_batch, start_ingest
 
 DAY = 86_400_000
@@ -344,10 +344,14 @@ def test_namespace(spark):
         spark.catalog.setCurrentDatabase(before)
 
 
-def test_spread_leaves_split_input_alone(spark):
-    split = spark.range(0, 10, 1, 4)
-    assert spread(split, 4) is split
-    assert spread(split, 6).rdd.getNumPartitions() == 6
+def test_input_is_dealt_out_on_request(spark, root):
+    source = requests(spark, series("m", [("h", "1")], [(1, 1.0)])).coalesce(1)
+    plans = []
+    for tasks in (None, 3):
+        lake = Lake(spark, f"{root}/{tasks}")
+        ingest_batch(lake, source, options=IngestOptions(input_tasks=tasks))
+        plans.append(flat(reads.read_points(lake, EVERY)))
+    assert plans == [[("m", {"h": "1"}, 1, 1.0)]] * 2
 
 
 def test_work_dir_uses_the_shared_folder(spark):
