@@ -55,11 +55,49 @@ def argument_errors(name: Column, arguments: Column, schemas: dict) -> Column:
     return out
 
 
+def chains(single: DataFrame) -> DataFrame:
+    """(conv, call_id, target, dist): the end of the chain each call stands in.
+
+    ``single``: (conv, call_id, dep) of the calls that build on one call. A
+    chain ends at the first call that is not of these, ``dist`` steps away.
+    Steps double in each round, so a chain of n calls takes log2(n) rounds;
+    calls on or behind a cycle reach no end and are left out.
+    """
+    inner = single.select("conv", F.col("call_id").alias("dep"), F.lit(True).alias("inner"))
+    steps = stored(
+        single.join(inner, ["conv", "dep"], "left").select(
+            "conv", "call_id", F.col("dep").alias("target"), F.lit(1).cast("long").alias("dist"),
+            F.col("inner").isNull().alias("ended"),
+        ),
+        "steps",
+    )
+    ended, open_ = steps.where("ended"), steps.where("NOT ended")
+    left, before = open_.count(), None
+    # While a chain is open, the calls next behind its ended part end in the round.
+    while left and left != before:
+        on = ended.unionByName(open_).select(
+            "conv", F.col("call_id").alias("target"), F.col("target").alias("end"), F.col("dist").alias("more"),
+            "ended",
+        )
+        steps = stored(
+            open_.drop("ended").join(on, ["conv", "target"]).select(
+                "conv", "call_id", F.col("end").alias("target"), (F.col("dist") + F.col("more")).alias("dist"),
+                "ended",
+            ),
+            "steps",
+        )
+        ended, open_ = ended.unionByName(steps.where("ended")), steps.where("NOT ended")
+        left, before = open_.count(), left
+    return ended.drop("ended")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv, call_id, level): one more than the highest level a call builds on.
 
     Calls that build on none known have level 0; those on or behind a cycle
-    have none and are left out. One job for each level.
+    have none and are left out. Chains of calls that build on one call each are
+    measured whole; beyond that there is one job for each level of calls that
+    build on several.
     """
     nodes = calls.select("conv", "call_id").where("conv IS NOT NULL AND call_id IS NOT NULL").distinct()
     edges = stored(
@@ -67,20 +105,37 @@ def levels(calls: DataFrame) -> DataFrame:
         .join(nodes.withColumnRenamed("call_id", "dep"), ["conv", "dep"]).select("conv", "call_id", "dep"),
         "edges",
     )
+    counted = stored(
+        edges.groupBy("conv", "call_id").agg(F.count("*").alias("n"), F.min("dep").alias("dep")), "counted"
+    )
+    behind = stored(chains(counted.where("n = 1").select("conv", "call_id", "dep")), "chains")
     done = stored(
-        nodes.join(edges, ["conv", "call_id"], "left_anti").withColumn("level", F.lit(0)), "levels"
+        nodes.join(counted, ["conv", "call_id"], "left_anti").withColumn("level", F.lit(0).cast("long")), "levels"
     )
-    while True:
+    ends = behind.select("conv", F.col("call_id").alias("dep"), "target", "dist")
+    several = stored(
+        edges.join(counted.where("n > 1").select("conv", "call_id"), ["conv", "call_id"])
+        .join(ends, ["conv", "dep"], "left").select(
+            "conv", "call_id", F.coalesce("target", "dep").alias("dep"),
+            (F.coalesce("dist", F.lit(0).cast("long")) + 1).alias("dist"),
+        ),
+        "several",
+    )
+    more = not several.isEmpty()
+    while more:
         known = done.select("conv", F.col("call_id").alias("dep"), "level")
         ready = (
-            edges.join(known, ["conv", "dep"], "left").groupBy("conv", "call_id")
-            .agg(F.count("*").alias("n"), F.count("level").alias("k"), (F.max("level") + 1).alias("level"))
+            several.join(known, ["conv", "dep"], "left").groupBy("conv", "call_id")
+            .agg(F.count("*").alias("n"), F.count("level").alias("k"), F.max(F.col("level") + F.col("dist")).alias("level"))
             .where("n = k").select("conv", "call_id", "level")
         )
         new = stored(ready.join(done, ["conv", "call_id"], "left_anti"), "levels")
-        if new.isEmpty():
-            return done
+        more = not new.isEmpty()
         done = done.unionByName(new)
+    known = done.select("conv", F.col("call_id").alias("target"), "level")
+    return done.unionByName(
+        behind.join(known, ["conv", "target"]).select("conv", "call_id", (F.col("level") + F.col("dist")).alias("level"))
+    )
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
@@ -144,12 +199,13 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> Dat
 def calls_of(turns: DataFrame) -> DataFrame:
     """Assistant turns as tool calls: what is answered, and on which call it builds.
 
-    A turn of 400 characters or more asks for a search and gives its limit as
-    text, which the schema refuses, when the turn is the seventh. A call
-    builds on the one two turns before, within runs of eight turns.
+    A turn of 400 characters or more asks for a search, its whole text being the
+    query, and gives its limit as text, which the schema refuses, when the turn
+    is the seventh of eight. A call builds on the one two turns before, through
+    the whole conversation.
     """
     long_ = F.length("text") >= 400
-    query = F.substring("text", 1, 60).alias("query")
+    query = F.col("text").alias("query")
     answer = F.to_json(F.struct(F.length("text").alias("n_chars"), F.col("text")))
     search = F.when(
         F.col("turn") % 8 == 7, F.to_json(F.struct(query, F.lit("many").alias("limit")))
@@ -160,7 +216,7 @@ def calls_of(turns: DataFrame) -> DataFrame:
         F.lit(0).cast("int").alias("seq"),
         F.when(long_, "search").otherwise("answer").alias("name"),
         F.when(long_, search).otherwise(answer).alias("arguments"),
-        F.when(F.col("turn") % 8 >= 2, F.array(call_id(F.col("turn") - 2)))
+        F.when(F.col("turn") >= 2, F.array(call_id(F.col("turn") - 2)))
         .otherwise(F.array().cast("array<string>")).alias("after"),
     )
 

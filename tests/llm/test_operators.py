@@ -144,6 +144,34 @@ def test_tool_calls(spark):
     assert chat.linked(calls.limit(0), results.limit(0)).count() == 0
 
 
+def test_calls_carry_whole_turns_and_link_on(spark):
+    text = lambda i: prose(i, 150) + f" end {i}"
+    turns = spark.createDataFrame(
+        [(c, i, "assistant" if i % 2 else "user", text(i)) for c in (1, 2) for i in range(80)], "conv_id long, turn int, role string, text string")
+    made = {(r["conv"], r["turn"]): r for r in chat.calls_of(turns).collect()}
+    assert len(text(3)) >= 400
+    assert all(json.loads(r["arguments"])["query"] == text(t) for (_, t), r in made.items())
+    got = chat.linked(chat.calls_of(turns), chat.results_of(turns)).where("level IS NOT NULL").collect()
+    assert {(r["conv"], r["turn"]): r["level"] for r in got} == {(c, t): t // 2 for c, t in made}
+    assert all(text(r["turn"]) in r["json"] for r in got)
+
+
+def test_levels_of_chains_and_forks(spark):
+    after = {i: [i - 1] for i in range(1, 70)} | {0: [], 100: [69, 30], 101: [100], 102: [101], 103: [102, 5, 999], 104: [103]}
+    after |= {200: [201], 201: [202], 202: [200], 203: [202], 204: [203, 0], 205: [204], 206: [206], 207: [300, 301], 300: [], 301: []}
+    want = {}
+    for _ in after:
+        for i, deps in after.items():
+            deps = [d for d in deps if d in after]
+            if all(d in want for d in deps):
+                want[i] = max((want[d] + 1 for d in deps), default=0)
+    calls = spark.createDataFrame(
+        [(c, str(i), [str(d) for d in deps]) for c in (1, 2) for i, deps in after.items()], "conv long, call_id string, after array<string>")
+    got = chat.levels(calls).collect()
+    assert sorted((r["conv"], int(r["call_id"]), r["level"]) for r in got) == sorted((c, i, n) for c in (1, 2) for i, n in want.items())
+    assert {200, 203, 204, 206} & set(want) == set() and want[104] == 74
+
+
 def test_quality_base_counts_and_verdicts(documents):
     clean = [(i, prose(i, 300).replace("0", ""), "en", "s") for i in range(100, 120)]
     odd = [(300, " | ".join(f"x{i}y" for i in range(300)), "en", "s"), (301, "word " * 200, "en", "s"), (302, "a b\n\na b\n a b", "xx", "s")]
