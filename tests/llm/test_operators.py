@@ -47,6 +47,27 @@ def test_poisson_inverse(spark):
         assert spark.range(1).select(mixing.poisson(F.lit(0.77), F.lit(mean))).first()[0] == k
 
 
+def test_poisson_inverse_of_large_means(spark):
+    for mean in (17.0, 599.0, 601.0, 5000.0, 1e6):
+        for u in (1e-4, 0.2, 0.77, 1 - 1e-4):
+            cdf, k = 0.0, max(0, int(mean - 14 * math.sqrt(mean) - 40)) - 1
+            while cdf < u:
+                k += 1
+                cdf += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+            got = spark.range(1).select(mixing.poisson(F.lit(u), F.lit(mean))).first()[0]
+            assert got == k, (mean, u)
+
+
+def test_small_sources_reach_their_weight(spark, documents):
+    many = [(i, f"text {i:05}", "en", "big" if i >= 5 else "src0" if i < 4 else "src1") for i in range(8000)]
+    got = mixing.mixed(documents(many), {"src0": 0.2, "src1": 0.3}, carry=["doc_id", "source"]).select("row.*", "copy", "place").collect()
+    by = collections.Counter(r["source"] for r in got)
+    assert abs(by["src0"] / len(got) - 0.2) < 0.02 and abs(by["src1"] / len(got) - 0.3) < 0.02
+    each = collections.Counter(r["doc_id"] for r in got)
+    assert {(r["doc_id"], r["copy"]) for r in got} == {(i, c) for i, n in each.items() for c in range(1, n + 1)}
+    assert len({r["place"] for r in got}) == len(got) and each[4] > mixing.BLOCK
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://EXAMPLE.com/en/x?q", "https://www.example.com/en/", "ftp://a.net/fr/x#y",
             "http://example.com", "http://foo.org/x.com/y", "http://x.net/es/" + "a" * 5000, "a://b://c.com/"]
