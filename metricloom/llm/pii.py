@@ -35,11 +35,12 @@ _FEMALE = r"Mrs|Ms|Miss|Madam|Frau|Mme|Madame|Mlle|Señora|Señorita|Sra|Srta|Do
 _MALE = r"Mr|Sir|Herr|Monsieur|Señor|Sr|Don|Господин"
 _NAME = r"[^\W\d_a-zà-öø-ÿа-я][\w'’-]+"
 PATTERNS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+%-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}",
+    "email": r"(?<![\w.+-])\w[\w.+%-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}",
     "aws_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{12,20}\b",
     "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b\s*[=:]\s*[\"']?)(?P<secret_value>[^\s\"',;]{6,})",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ipv6": r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}){1,7}(?![\w:])",
+    # Any run with two colons or more and a digit, with an IPv4 tail or none; ``ipaddress`` decides.
+    "ipv6": r"(?<![\w:.])(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:)(?=:*[0-9A-Fa-f])[0-9A-Fa-f:]{2,39}(?:(?<=:)[0-9]{1,3}(?:\.[0-9]{1,3}){3}|(?<=::)|(?<=[0-9A-Fa-f]))(?!\w|:[\w:]|\.\d)",
     "ipv4": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
@@ -47,9 +48,10 @@ PATTERNS = {
     "name": rf"\b(?:(?P<female>{_FEMALE})|(?P<male>{_MALE}))\.? (?P<given>{_NAME})(?: (?P<family>{_NAME}))?",
 }
 DETECTOR = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
+_TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: A text without any of these holds no entity.
 TRIGGER = re.compile(
-    rf"[0-9@]|\b(?:{_FEMALE}|{_MALE})\b|(?i:password|passwd|pwd|secret|token|api[_-]?key)"
+    rf"[0-9@]|::|:[A-Fa-f]{{1,4}}:|\b(?:{_FEMALE}|{_MALE})\b|(?i:password|passwd|pwd|secret|token|api[_-]?key)"
 )
 
 
@@ -67,12 +69,31 @@ def iban_check(country: str, rest: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+def _is_address(value: str) -> bool:
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return False
+    return True
+
+
+def _matches(text: str):
+    """What the detector finds; a run of groups that is no address may hold something else."""
+    at = 0
+    while m := DETECTOR.search(text, at):
+        if m["ipv6"] is None or _is_address(m["ipv6"]):
+            yield m
+            at = m.end()
+        else:
+            at = m.start() + 1
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of the entities of a text, in order."""
     if not text or not TRIGGER.search(text):
         return []
     found, names = [], {}
-    for m in DETECTOR.finditer(text):
+    for m in _matches(text):
         kind, start, end = m.lastgroup, m.start(), m.end()
         kind = next(k for k in PATTERNS if m[k] is not None)
         if kind == "name":
@@ -87,6 +108,10 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         if kind == "secret":
             start, end = m.span("secret_value")
         value = text[start:end]
+        if kind == "secret" and not any(map(str.isalnum, value)):
+            continue  # masked or blank
+        if kind in ("ipv4", "ssn", "card", "phone") and not value.isascii():
+            value = re.sub(r"\d", lambda d: str(int(d[0])), value)
         if kind == "card":
             value = re.sub(r"\D", "", value)
             if luhn(value[:-1]) != int(value[-1]):
@@ -96,14 +121,11 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             if iban_check(value[:2], value[4:]) != value[2:4]:
                 continue
         elif kind == "email":
-            value = value.casefold()
+            value = value.translate(_TO_LOWER)  # no other letters, whose lower case may be longer
         elif kind == "phone":
             value = re.sub(r"[^\d+]", "", value)
         elif kind == "ipv6":
-            try:
-                value = str(ipaddress.IPv6Address(value))
-            except ValueError:
-                continue
+            value = str(ipaddress.IPv6Address(value))
         found.append((start, end, kind, value))
     if names:
         taken = [(s, e) for s, e, *_ in found]
@@ -207,6 +229,8 @@ def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
         return same_shape(key, label, value, first)
     if kind == "aws_key":
         return value[:4] + same_shape(key, label, value[4:], 0, (_DIGITS + _UPPER,))
+    if kind == "secret" and not re.search(r"[A-Za-z0-9]", value):
+        return "".join(_LOWER[_number(key, label, value, i) % 26] if c.isalnum() else c for i, c in enumerate(value))
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+", value):
         return same_shape(key, label, value, 0, (_DIGITS + "abcdef",))
     return same_shape(key, label, value)

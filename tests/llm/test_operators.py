@@ -309,6 +309,29 @@ def test_surrogates(documents, monkeypatch):
     assert pii.pseudonymised(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("text, kind, found", [
+    ("to fe80::1.", "ipv6", "fe80::1"), ("2001::1 up", "ipv6", "2001::1"), ("[::1]:80", "ipv6", "::1"), ("fe80::1: lost", "ipv6", "fe80::1"),
+    ("::ffff:192.0.2.1", "ipv6", "::ffff:192.0.2.1"), ("net 2001:db8::/32", "ipv6", "2001:db8::"), ("face::cafe", "ipv6", "face::cafe"),
+    ("1:2:3:4:5:6:7:8", "ipv6", "1:2:3:4:5:6:7:8"), ("12:30:10.0.0.7", "ipv4", "10.0.0.7"), ("12:30:123-45-6789", "ssn", "123-45-6789"),
+    ("weiß@example.de", "email", "weiß@example.de"), ("Ünal.WEIß@example.de", "email", "Ünal.WEIß@example.de"), ("password=секретно", "secret", "секретно"),
+    ("123-45-678٩", "ssn", "123-45-678٩"),
+])
+def test_forms_of_surrogates(text, kind, found):
+    (start, end, got, value), = pii.mentions(text)
+    assert (got, text[start:end]) == (kind, found)
+    new, n = pii.rewritten(text, b"k", {})
+    assert n == 1 and found not in new and new.startswith(text[:start]) and new.endswith(text[end:])
+    assert pii.surrogate(b"k", kind, value) != value
+    assert kind != "email" or len(new) == len(text)
+
+
+def test_forms_that_are_no_entities(documents):
+    texts = ["at 12:30:45", "11:22:33:44:55:66", "f :: Int", "Foo::Bar", "1::2::3", "password=******", "token: ______"]
+    got = pii.pseudonymised(documents([(i, t, "en", "s") for i, t in enumerate([*texts, "weiß@example.de"])])).collect()
+    assert {r["row"]["text"]: r["n_replaced"] for r in got} == {**dict.fromkeys(texts, 0), "weiß@example.de": 1}
+    assert all(r["new_text"] == r["row"]["text"] for r in got if not r["n_replaced"])
+
+
 def test_surrogates_stay_distinct(spark):
     small = spark.createDataFrame([(" ".join(f"10.0.{i}.{j}" for j in range(64)) + " " + "123-45-6789",) for i in range(16)], "text string")
     found = pii.assigned(small).collect()
