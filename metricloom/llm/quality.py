@@ -12,6 +12,7 @@ Base rules come first: too few words, or too many words in repeated windows.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,11 +22,13 @@ from metricloom.llm.common import let
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CHARS_JUDGED = 300
-MIN_WORDS_JUDGED = 100
+MIN_WORDS_JUDGED = MIN_WORDS
 # Largest distance: a limit for endless text, and a slack over the square root
 # of the length, since a short text strays from its language by chance alone.
 CHAR_LIMIT, CHAR_SLACK = 0.17, 2.4
-WORD_LIMIT, WORD_SLACK = 0.07, 2.9
+# By chance alone the squared distance of n words in k classes is (k - 1) / (8 ln 2 n)
+# on average, so 1.47 / sqrt(n) for 13 classes; the margin is for the spread about it.
+WORD_LIMIT, WORD_MARGIN = 0.07, 0.53
 
 #: The most common words of each language.
 COMMON_WORDS = {
@@ -47,6 +50,7 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 N_CLASSES = len(CLASSES) + 1
 N_COMMON = 12
+WORD_SLACK = round(math.sqrt(N_COMMON / (8 * math.log(2))) + WORD_MARGIN, 2)
 
 
 def with_words(rows: DataFrame) -> DataFrame:

@@ -215,6 +215,17 @@ def test_quality_base_counts_and_verdicts(documents):
     assert quality.kept(documents([])).count() == 0
 
 
+def test_short_fragments_are_judged_by_words(documents):
+    reference = [(i, prose(i, 300).replace("0", ""), "en", "s") for i in range(100, 140)]
+    short = [(i, prose(i, 60).replace("0", ""), "en", "s") for i in range(200, 220)]
+    plain = lambda i, n: " ".join(w for w in prose(i, 9 * n).replace("0", "").split() if w not in quality.COMMON_WORDS["en"])
+    junk = [(i, " ".join(plain(i, n).split()[:n]), "en", "s") for i, n in ((300, 60), (301, 80), (302, 99))]
+    got = {r["doc_id"]: r for r in quality.judged(documents([*reference, *short, *junk]), ["doc_id"]).select("row.doc_id", "*").collect()}
+    assert all(got[i]["word_distance"] is not None and not got[i]["base_failed"] for i in (*range(200, 220), 300, 301, 302))
+    assert all(got[i]["kept"] for i in range(200, 220)) and not any(got[i]["kept"] for i in (300, 301, 302))
+    assert all(got[i]["char_distance"] <= quality.CHAR_LIMIT + quality.CHAR_SLACK / math.sqrt(got[i]["n_chars"]) for i in (300, 301, 302))
+
+
 def gram_set(text, words):
     w = SPACED.findall(lowered(text))
     return frozenset(zip(*[w[i:] for i in range(words)], strict=False)) if len(w) >= words else frozenset([tuple(w)] if w else [])
