@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metricloom.llm import (
-    chat, decontaminate, jaccard_join, lm, mixing, pii, quality, suffix_dedup, url_filter, warc,
+    chat, collocation, decontaminate, jaccard_join, lm, merkle, mixing, packing, pii, quality,
+    suffix_dedup, url_filter, warc,
 )
 from metricloom.llm.common import read_table
 from metricloom.session import work_dir
@@ -89,6 +90,28 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocation.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether it holds after tampering."""
+    return merkle.audited(read_table(spark, sf_dir, "documents"))
+
+
+def op13_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its sequence, with a checksum of its ids."""
+    import public_tokenizers
+
+    pieces = packing.packed(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_poisson_mixing": op1_poisson_mixing,
     "op2_url_filter": op2_url_filter,
@@ -100,6 +123,9 @@ QUERIES = {
     "op8_context_mixing": op8_context_mixing,
     "op9_surrogates": op9_surrogates,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_retrieval_packing": op13_retrieval_packing,
 }
 
 def _lower(text: str) -> str:
@@ -209,6 +235,70 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
         FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)""",
+    "op11_phrase_collocations": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                          {_lower("coalesce(text, '')")} AS t FROM documents),
+             p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+             g AS (SELECT lang, m, w[i:i + m - 1] AS w FROM
+                     (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, range(1, {collocation.LONGEST + 1}) AS s(m))),
+             f AS MATERIALIZED (SELECT lang, m, array_to_string(w, ' ') AS phrase, any_value(w) AS w, count(*) AS f FROM g GROUP BY lang, m, phrase),
+             n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+             c AS MATERIALIZED (SELECT * FROM f WHERE m > 1 AND f >= {collocation.LEAST}),
+             k AS (SELECT lang, phrase, w, m, f AS a, unnest(range(1, m)) AS k FROM c),
+             s AS (SELECT k.lang, k.phrase, k.w, k.m, a, k, x.f AS l, y.f AS r, CAST(2000000 * a::HUGEINT // (x.f + y.f) AS BIGINT) AS score
+                   FROM k JOIN f AS x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[:k.k], ' ')
+                          JOIN f AS y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+             b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+             o AS (SELECT lang, array_to_string(w[i:i + j - 1], ' ') AS phrase, max(f) AS f FROM
+                     (SELECT lang, w, f, j, unnest(range(1, m - j + 2)) AS i FROM
+                        (SELECT lang, w, f, m, unnest(range(2, m)) AS j FROM c)) GROUP BY ALL),
+             z AS (SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+                   FROM b LEFT JOIN o USING (lang, phrase) WHERE NOT coalesce(100 * o.f >= 80 * a, false))
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM z JOIN n USING (lang) WHERE rank <= {collocation.TOP}""",
+    "op12_merkle_manifest": """
+        WITH RECURSIVE
+             table256 AS (SELECT list(list_reduce([i] || range(8), lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS t FROM range(256) AS r(i)),
+             f AS (SELECT doc_id, n_chars, coalesce('=' || lang, '') AS grp,
+                          concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                                 coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+                          coalesce(strlen(text) || ':' || text, '-') AS tail,
+                          xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                              lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0 AS hit
+                   FROM documents, table256),
+             d AS MATERIALIZED (SELECT row_number() OVER () AS r, *,
+                          sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                          sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) AS changed FROM f),
+             o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+             v AS (SELECT 0 AS level, grp, i, leaf AS h, count(*) OVER (PARTITION BY grp) AS n FROM o
+                   UNION ALL
+                   SELECT level + 1, grp, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2
+                   FROM v WHERE n > 1 GROUP BY level, grp, i // 2),
+             nodes AS MATERIALIZED (SELECT * FROM v),
+             s AS MATERIALIZED (SELECT grp, h AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS i FROM nodes WHERE n = 1),
+             w AS (SELECT 0 AS level, i, subroot AS h, count(*) OVER () AS n FROM s
+                   UNION ALL
+                   SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2
+                   FROM w WHERE n > 1 GROUP BY level, i // 2),
+             tops AS MATERIALIZED (SELECT * FROM w),
+             steps AS (SELECT r, level AS step, x.i AS at, y.h, y.i < x.i AS left FROM
+                         (SELECT r, grp, level, o.i >> level AS i FROM o, (SELECT DISTINCT grp AS g, level FROM nodes WHERE n > 1) WHERE g = grp) AS x
+                         LEFT JOIN nodes AS y USING (grp, level) WHERE y.i = xor(x.i, 1)
+                       UNION ALL
+                       SELECT r, 1000 + level, x.i, y.h, y.i < x.i FROM
+                         (SELECT r, level, s.i >> level AS i FROM o JOIN s USING (grp), (SELECT DISTINCT level FROM tops WHERE n > 1)) AS x
+                         LEFT JOIN tops AS y USING (level) WHERE y.i = xor(x.i, 1)),
+             every AS (SELECT r, level AS step FROM o JOIN (SELECT DISTINCT grp, level FROM nodes WHERE n > 1) USING (grp)
+                       UNION ALL SELECT r, 1000 + level FROM o, (SELECT DISTINCT level FROM tops WHERE n > 1)),
+             path AS MATERIALIZED (SELECT r, row_number() OVER (PARTITION BY r ORDER BY step) AS k, coalesce(h, '') AS h, coalesce("left", false) AS "left"
+                      FROM every LEFT JOIN steps USING (r, step)),
+             fold AS (SELECT r, 0 AS k, CASE WHEN hit THEN changed ELSE leaf END AS h FROM o
+                      UNION ALL
+                      SELECT fold.r, fold.k + 1, sha256(CASE WHEN path."left" THEN path.h || fold.h ELSE fold.h || path.h END)
+                      FROM fold JOIN path ON path.r = fold.r AND path.k = fold.k + 1),
+             p AS (SELECT r, string_agg(h, '' ORDER BY k) AS proof, max(k) AS last FROM path GROUP BY r)
+        SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, fold.h AS folded_root, fold.h = root AS verified
+        FROM o JOIN s USING (grp) CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
+             LEFT JOIN p USING (r) JOIN fold ON fold.r = o.r AND fold.k = coalesce(p.last, 0)""",
     "op2_url_filter": """
         WITH r(verdict, host, path) AS (VALUES
                ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
