@@ -30,7 +30,7 @@ def with_tags(points: DataFrame, series: DataFrame) -> DataFrame:
     return points.join(series, SERIES_KEYS)
 
 
-def _numeric_series(lake: Lake) -> DataFrame:
+def numeric_series(lake: Lake) -> DataFrame:
     return lake.series().where(F.col("kind") == values.NUMBER)
 
 
@@ -55,7 +55,7 @@ def _range(start_ms: int, end_ms: int) -> Column:
 def read_points(lake: Lake, query: Query, options: Options = Options()) -> DataFrame:
     """Points that a query selects: ``metric, series_key, labels, ts, value``."""
     wanted = matcher_predicate(lake.spark, query.matchers, options)
-    series = _numeric_series(lake).where(wanted.metric & wanted.labels)
+    series = numeric_series(lake).where(wanted.metric & wanted.labels)
     points = lake.points().where(wanted.metric & _range(query.start_ms, query.end_ms))
     return with_tags(
         points.select(*SERIES_KEYS, "ts", "value"),
@@ -96,7 +96,7 @@ def read_many(
     )
     any_metric = _any([w.metric for w in wanted])
     series = (
-        _numeric_series(lake)
+        numeric_series(lake)
         .where(any_metric)
         .select(*SERIES_KEYS, "labels", hits.alias("hits"))
         .where(F.size("hits") > 0)
