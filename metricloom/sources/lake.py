@@ -6,9 +6,12 @@
     samples_str/stream=S/batch_id=N/period=D/metric=M/  series_key, ts, value STRING
     series/stream=S/batch_id=N/                         one row per new series
     rejected/stream=S/batch_id=N/                       source, reason, payload
+    _claims/stream=S/N                                  whose batch it is
 
 A batch owns its directory in each table and always overwrites it whole, so a
-replayed batch replaces itself exactly. Tags are held once per series, in
+replayed batch replaces itself exactly. It is claimed before anything is
+written, by a file that only one job can create, so two jobs never write one
+batch. Tags are held once per series, in
 ``series``; a point has only its key. ``period`` is the first day of the day
 or month of ``ts`` and ``metric`` the stored name, so both a name matcher and
 a time range prune directories before any file is opened.
@@ -16,6 +19,8 @@ a time range prune directories before any file is opened.
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -24,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metricloom.functions import values
 from metricloom.operators.batch import Batch, SERIES_IDENTITY
+from metricloom.sources import files
 
 GRAINS = ("day", "month")
 LONGEST_PERIOD_DAYS = 31
@@ -80,21 +86,65 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def claim(self, stream: str, batch_id: int, owner: str | None = None) -> None:
+        """Make a batch ``owner``'s before it is written; ``ValueError`` if it is another's.
+
+        Without an owner the caller answers for the batch and may replace it,
+        whoever wrote it.
+        """
+        path = f"{self.root}/_claims/stream={stream}/{batch_id}"
+        if files.create_new(self.spark, path, owner or "") or owner is None:
+            return
+        found = files.read_text(self.spark, path)
+        if found != owner:
+            raise ValueError(f"batch {batch_id} of stream {stream!r} belongs to {found or 'another job'}")
+
     def next_batch(self, stream: str) -> int:
-        """The first batch id above all that the stream has written."""
-        found = [self.points(), self.points(values.TEXT), self.series(), self.rejected()]
-        last = [
-            t.where(F.col("stream") == stream).agg(F.max("batch_id")).first()[0]
-            for t in found
-        ]
-        return max([COMPACTED, *(n for n in last if n is not None)]) + 1
-
-    def stage(self, rows: DataFrame, stream: str) -> DataFrame:
-        """``rows`` written to the stream's staging table and read back."""
-        path = f"{self.root}/_staging/{stream}"
+        """Claim the first batch id above all of the stream, for one job alone."""
+        taken = [int(n) for n in files.names(self.spark, f"{self.root}/_claims/stream={stream}") if n.lstrip("-").isdigit()]
+        for table in ("samples", "samples_str", "series", "rejected"):
+            found = files.names(self.spark, f"{self.root}/{table}/stream={stream}")
+            taken += [int(n.partition("=")[2]) for n in found if n.startswith("batch_id=")]
+        owner, batch_id = uuid.uuid4().hex, max([COMPACTED, *taken]) + 1
+        while not files.create_new(self.spark, f"{self.root}/_claims/stream={stream}/{batch_id}", owner):
+            batch_id += 1
+        return batch_id
+
+    def await_turn(self, stream: str, batch_id: int, patience: float = 3600) -> None:
+        """Wait until the batch before this one, if claimed, has registered its series.
+
+        Each batch waits for the one before it, so a series is never registered
+        by two jobs that run at once. ``TimeoutError`` after ``patience``
+        seconds: the batch in front must be run again, or given up with
+        ``abandon``.
+        """
+        before = f"stream={stream}/batch_id={batch_id - 1}"
+        until = time.monotonic() + patience
+        while files.exists(self.spark, f"{self.root}/_claims/stream={stream}/{batch_id - 1}") and not files.exists(
+            self.spark, f"{self.root}/series/{before}/_SUCCESS"
+        ):
+            if time.monotonic() > until:
+                raise TimeoutError(f"batch {batch_id - 1} of stream {stream!r} is claimed and not written")
+            time.sleep(0.5)
+
+    def abandon(self, stream: str, batch_id: int) -> None:
+        """Give up a claimed batch whose job is dead, with all it may have written."""
+        place = f"stream={stream}/batch_id={batch_id}"
+        for table in ("samples", "samples_str", "rejected", "series", "_staging"):
+            files.remove(self.spark, f"{self.root}/{table}/{place}")
+        files.remove(self.spark, f"{self.root}/_claims/stream={stream}/{batch_id}")
+
+    def stage(self, rows: DataFrame, stream: str, batch_id: int) -> DataFrame:
+        """``rows`` written to the batch's staging table and read back."""
+        path = f"{self.root}/_staging/stream={stream}/batch_id={batch_id}"
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def unstage(self, stream: str, batch_id: int | None = None) -> None:
+        """Remove the staging table of a batch, or all that a stream's dead jobs left."""
+        place = f"{self.root}/_staging/stream={stream}"
+        files.remove(self.spark, place if batch_id is None else f"{place}/batch_id={batch_id}")
+
     def write_batch(
         self,
         batch: Batch,

@@ -1,5 +1,9 @@
 """Writes that must not lose, double or misplace points."""
 
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from metricloom.config import IngestOptions
@@ -8,7 +12,7 @@ from metricloom.operators.matchers import Query
 from metricloom.sources.agent import read_agent_batches
 from metricloom.sources.lake import Lake, compact
 from metricloom.sources.remote import read_write_requests
-from metricloom.streaming.ingest import ingest_batch
+from metricloom.streaming.ingest import follow, ingest_batch, start_ingest
 from build import requests, series
 
 EVERY = Query.of(-(2**63), 2**63 - 1, ("RE", "__name__", ".*"))
@@ -68,3 +72,73 @@ def test_records_of_a_wrong_type_are_rejected_whole(spark, root, tmp_path):
     assert lake.points().where(F.col("ts") < F.lit("1970-01-01 00:00:00.001").cast("timestamp")).count() == 0
     assert lake.points().count() == 2
     assert sorted(r["reason"] for r in lake.rejected().collect()) == ["malformed_batch", "malformed_batch", "malformed_request"]
+
+
+def test_two_jobs_at_once_keep_both_batches_and_register_once(spark, root):
+    lake = Lake(spark, root)
+    sources = [requests(spark, series("up", [("job", "a")], [(1 + i, float(i))])) for i in range(3)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda rows: ingest_batch(lake, rows, stream="s"), sources))
+    assert points(lake) == [("up", 0.0), ("up", 1.0), ("up", 2.0)]
+    assert lake.series().count() == 1
+    assert {r["batch_id"] for r in lake.points().select("batch_id").collect()} == {0, 1, 2}
+
+
+def test_a_claimed_batch_is_its_owners(spark, root):
+    lake = Lake(spark, root)
+    lake.claim("s", 0, "me")
+    lake.claim("s", 0, "me")
+    with pytest.raises(ValueError, match="belongs"):
+        lake.claim("s", 0, "you")
+    lake.claim("s", 0)  # the caller answers for it
+    assert lake.next_batch("s") == 1
+    assert lake.next_batch("s") == 2
+
+
+def test_a_dead_job_in_front_is_named_and_can_be_given_up(spark, root):
+    lake = Lake(spark, root)
+    dead = lake.next_batch("s")
+    with pytest.raises(TimeoutError, match="batch 0"):
+        lake.await_turn("s", dead + 1, patience=0)
+    lake.abandon("s", dead)
+    lake.await_turn("s", dead + 1, patience=0)
+    ingest_batch(lake, requests(spark, series("up", [], [(1, 1.0)])), stream="s")
+    assert points(lake) == [("up", 1.0)]
+
+
+def test_nothing_staged_is_left_even_by_a_batch_that_fails(spark, root):
+    lake = Lake(spark, root)
+    good = requests(spark, series("up", [], [(1, 1.0)]))
+    for _ in range(2):
+        ingest_batch(lake, good, stream="s")
+    broken = good.withColumn("timeseries", F.expr("if(size(timeseries) > 0, raise_error('no'), timeseries)"))
+    with pytest.raises(Exception, match="no"):
+        ingest_batch(lake, broken, stream="s")
+    assert not list(Path(root).glob("_staging/stream=s/*"))
+
+
+@pytest.mark.parametrize("stream", [None, "mine"])
+def test_a_checkpoint_made_anew_at_the_same_path_overwrites_nothing(spark, root, tmp_path, stream):
+    lake, inbox = Lake(spark, root), tmp_path / "in"
+    inbox.mkdir()
+    body = '{"timeseries":[{"labels":[{"name":"__name__","value":"up"}],"samples":[{"value":%d,"timestamp":1}]}]}\n'
+
+    def run(checkpoint):
+        start_ingest(lake, follow(spark, str(inbox)), str(checkpoint), stream=stream, trigger={"availableNow": True}).awaitTermination()
+
+    (inbox / "a.json").write_text(body % 1)
+    run(tmp_path / "cp")
+    (tmp_path / "cp").rename(tmp_path / "old")
+    (inbox / "a.json").rename(tmp_path / "a.json")
+    (inbox / "b.json").write_text(body % 2)
+    if stream:
+        with pytest.raises(Exception, match="belongs"):
+            run(tmp_path / "cp")
+        assert points(lake) == [("up", 1.0)]
+    else:
+        run(tmp_path / "cp")
+        assert points(lake) == [("up", 1.0), ("up", 2.0)]
+    # The first checkpoint goes on where it was.
+    (inbox / "c.json").write_text(body % 3)
+    run(tmp_path / "old")
+    assert ("up", 3.0) in points(lake) and ("up", 1.0) in points(lake)
