@@ -18,7 +18,9 @@ which need no padding.
 
 from __future__ import annotations
 
+import codecs
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,9 @@ END = 1
 #: Texts of one signature that a task sends to one shard.
 TOGETHER = 64
 #: Bytes of text tokenised at once.
-READ = 1 << 24
+READ = 1 << 22
+#: Distinct words a task remembers.
+KNOWN = 1 << 19
 K1, B = 1.2, 0.75
 
 _ROUTED = "doc_id long, route long, n int, ids binary"
@@ -47,26 +51,64 @@ _U = np.uint64
 _HASH = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 
 
-def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Places in ``data`` where a token surely begins: texts' starts and the
-    white space after a word.
+def _kinds() -> np.ndarray:
+    """Kind of each byte: 0 unknown, 1 letter, 2 digit, 3 mark but the apostrophe, 4 blank, 5 other white space."""
+    kinds = np.zeros(256, np.uint8)
+    kinds[33:127] = 3
+    kinds[[*range(65, 91), *range(97, 123)]] = 1
+    kinds[48:58] = 2
+    kinds[39] = 0
+    kinds[32] = 4
+    kinds[[9, 10, 13]] = 5
+    return kinds
+
+
+_KIND = _kinds()
+# (kind before, kind after) between which a token surely ends.
+_CUT = np.zeros((6, 6), bool)
+_CUT[[1, 1, 2, 2, 3, 3, 1, 2, 3], [4, 5, 4, 5, 4, 5, 3, 3, 1]] = True
+_CUT = _CUT.ravel()
 
-    The tokenizer's split never joins a character to the white space after it,
-    so texts may be cut there and the parts tokenised one by one. Places after
-    characters that may themselves be white space are passed over.
+
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places in ``data`` where a token surely begins, texts' starts among them.
+
+    The tokenizer splits a text before it looks words up: letters, digits and
+    marks never share a token, white space after one of them is none of its
+    token, and one line end or tab between two of them is a token. So texts may be cut between
+    such ASCII characters, and before white space after a two-byte letter, and
+    the parts be tokenised one by one. Where a character could be more than one
+    of these, nothing is cut.
     """
-    if len(data) < 2:
-        return np.unique(offsets)
-    white = np.isin(data, [9, 10, 13, 32])
-    before = data[:-1]
-    plain = (before > 32) & (before < 127)
-    two = np.zeros(len(before), bool)
-    two[1:] = (before[1:] >= 128) & (before[:-1] >= 0xC3) & (before[:-1] < 0xE0)
-    return np.unique(np.concatenate([np.flatnonzero(white[1:] & (plain | two)) + 1, offsets]))
+    cut = np.zeros(len(data) + 1, bool)
+    cut[offsets] = True
+    if len(data) > 1:
+        kind = _KIND[data]
+        cut[1:-1] |= _CUT[kind[:-1] * np.uint8(6) + kind[1:]]
+        lead = data[:-2]
+        sure = (kind >= 1) & (kind <= 3)
+        cut[2:-1] |= sure[:-2] & (kind[1:-1] == 5) & sure[2:]
+        cut[2:-1] |= (kind[2:] >= 4) & (data[1:-1] >= 128) & (lead >= 0xC3) & (lead < 0xE0)
+    return np.flatnonzero(cut)
+
+
+# Latin letters only, but for a blank in front: nothing that the tokenizer would split.
+_ONE_WORD = "^ ?[A-Za-zÀ-ÖØ-öø-ɏ]+$"
+
+
+def _characters() -> str:
+    """How a byte-level vocabulary spells each byte: printable ones stand for
+    themselves, the others follow from 256 on in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in printable else next(others)) for b in range(256))
+
+
+_CHARACTERS = _characters()
 
 
 class Encoder:
-    """Token ids of texts, each distinct word tokenised once."""
+    """Token ids of texts; a distinct word is tokenised once while it is remembered."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -75,6 +117,34 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Names of special tokens inside a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.ends = array("H"), array("q", [0])
+
+    def _rows(self, words: pa.Array) -> np.ndarray:
+        """Where the ids of each word stand; words not met before are tokenised."""
+        if len(self.known) > KNOWN:
+            self._forget()
+        every = words.to_pylist()
+        one = pc.match_substring_regex(words, _ONE_WORD).to_pylist()
+        plain = [w for w, is_one in zip(every, one) if is_one and w not in self.known]
+        spelt = codecs.charmap_decode("\n".join(plain).encode(), "strict", _CHARACTERS)[0]
+        look_up = self.tokenizer.model.tokenize
+        self._learn(plain, ([t.id for t in look_up(w)] for w in spelt.split(_CHARACTERS[10])))
+        rest = [w for w, is_one in zip(every, one) if not is_one and w not in self.known]
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
+            self._learn(part, (e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)))
+        return np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
+
+    def _learn(self, words: list[str], found: Iterator[list[int]]) -> None:
+        first = len(self.ends) - 1
+        for ids in found if words else ():
+            self.flat.extend(ids)
+            self.ends.append(len(self.flat))
+        self.known.update(zip(words, range(first, first + len(words))))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, ``END`` after each text, and where each text starts."""
@@ -83,19 +153,16 @@ class Encoder:
         words = pa.Array.from_buffers(
             pa.large_string(), max(len(at) - 1, 0), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)]
         ).dictionary_encode()
-        found = self.tokenizer.encode_batch_fast(words.dictionary.to_pylist(), add_special_tokens=False)
-        lists = [e.ids for e in found] or [[]]
-        size = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter((i for x in lists for i in x), np.uint16, int(size.sum()))
-        first = np.cumsum(size) - size
-        index = words.indices.to_numpy(zero_copy_only=False)
-        counts = size[index] if len(index) else np.zeros(0, np.int64)
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        starts = ends[np.searchsorted(at, offsets)] + np.arange(len(offsets))
+        rows = self._rows(words.dictionary)
+        flat, ends = np.array(self.flat, np.uint16), np.array(self.ends, np.int64)
+        row = rows[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
+        counts = ends[row + 1] - ends[row]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        starts = upto[np.searchsorted(at, offsets)] + np.arange(len(offsets))
         out = np.full(int(starts[-1]), END, np.uint16)
         place = np.ones(len(out), bool)
         place[starts[1:] - 1] = False
-        out[place] = flat[np.repeat(first[index], counts) + _runs(counts)] if len(index) else flat[:0]
+        out[place] = flat[np.repeat(ends[row] - upto[:-1], counts) + np.arange(upto[-1])]
         return out, starts
 
 
