@@ -1,9 +1,10 @@
 """Lexical retrieval packing of documents into training sequences.
 
 Texts become token ids once, and each text is routed to a shard by the least
-hash of its token ids, so texts that share rare wording tend to meet. A task
-that sees one signature again and again spreads it over more shards, so copies
-never make a shard large. Shards are cut from the routed rows as they stream
+hash of its token ids, so texts that share rare wording tend to meet. Texts of
+``POOL`` neighbouring tasks meet, and a task that sees one signature again and
+again spreads it over more places: copies, however many, gather
+``POOL * TOGETHER`` at a time. Shards are cut from the routed rows as they stream
 through a task, when ``BLOCK`` tokens are together: memory is bounded whatever
 the input, and the one shuffle carries ids at two bytes a token.
 
@@ -36,8 +37,10 @@ WINDOW = 2048
 BLOCK = 1 << 20
 #: Id put after every text.
 END = 1
-#: Texts of one signature that a task sends to one shard.
-TOGETHER = 64
+#: Texts of one signature that a task routes to one place.
+TOGETHER = 8
+#: Neighbouring tasks whose texts may meet, so no place gathers more copies at any size.
+POOL = 16
 #: Bytes of text tokenised at once.
 READ = 1 << 22
 #: Distinct words a task remembers.
@@ -172,7 +175,7 @@ def _runs(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def _routed(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _routed(path: str, task: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encode, seen = Encoder(path), {}
     for ids, texts in _read(batches):
         tokens, starts = encode(texts)
@@ -185,7 +188,8 @@ def _routed(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         for i, key in enumerate(least.tolist()):
             turn[i] = seen.get(key, 0) // TOGETHER
             seen[key] = seen.get(key, 0) + 1
-        route = mix(least ^ (turn * _U(0x9E3779B97F4A7C15))).view(np.int64)
+        turn = turn * _U(0x9E3779B97F4A7C15) + _U(task // POOL)
+        route = mix(least ^ mix(turn)).view(np.int64)
         if len(seen) > 1_000_000:
             seen = {}
         yield pa.record_batch([
@@ -348,7 +352,7 @@ def packed(docs: DataFrame, tokenizer: str) -> DataFrame:
     Other columns are ignored. An empty table has no pieces.
     """
     routed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(
-        lambda batches: _routed(tokenizer, batches), _ROUTED
+        lambda batches: _routed(tokenizer, TaskContext.get().partitionId(), batches), _ROUTED
     )
     # The order within a task is made whole by the sort, so a task that is run
     # again packs the same sequences.
