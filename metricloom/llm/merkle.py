@@ -266,11 +266,9 @@ def manifest(docs: DataFrame, group: str, key: str, fields: list[str], carry: di
     groups = grown(leaves)
     subroots = groups.tops().select(F.lit("").alias("grp"), F.col("grp").alias("key"), F.col("digest").alias("leaf"))
     top = grown(subroots)
-    root = top.tops().select(F.col("digest").alias("root"), F.lit("").alias("root_grp"))
-    upper = (
-        proofs(top, "key").withColumnRenamed("leaf", "subroot")
-        .join(root, F.col("grp") == F.col("root_grp"))
-        .select(F.col("key").alias("grp"), "subroot", "root", F.col("path").alias("upper"))
+    upper = proofs(top, "key").select(
+        F.col("key").alias("grp"), F.col("leaf").alias("subroot"),
+        folded(F.col("leaf"), F.col("path")).alias("root"), F.col("path").alias("upper"),
     )
     upper = stored(upper, "merkle-top")
     rows = proofs(groups, "key", *names).join(upper, "grp").select(
