@@ -38,7 +38,7 @@ TOP = 2000
 #: Bits of the largest bitmap: 32 MB.
 MAX_FILTER_BITS = 28
 #: Entries a task holds before it sends them on.
-HELD = 1 << 20
+HELD = 1 << 19
 
 # \x20 and \x09 end a word; these bytes end a piece as well.
 _PIECE_ENDS = np.zeros(256, bool)
