@@ -4,7 +4,7 @@
 
     samples/stream=S/batch_id=N/period=D/metric=M/      series_key, ts, value DOUBLE
     samples_str/stream=S/batch_id=N/period=D/metric=M/  series_key, ts, value STRING
-    series/stream=S/batch_id=N/                         one row per new series
+    series/stream=S/batch_id=N/bucket=B/                one row per new series
     rejected/stream=S/batch_id=N/                       source, reason, payload
     _claims/stream=S/N                                  whose batch it is
 
@@ -14,7 +14,9 @@ written, by a file that only one job can create, so two jobs never write one
 batch. Tags are held once per series, in
 ``series``; a point has only its key. ``period`` is the first day of the day
 or month of ``ts`` and ``metric`` the stored name, so both a name matcher and
-a time range prune directories before any file is opened.
+a time range prune directories before any file is opened. ``bucket`` is a hash
+of a series, so a batch looks for its series among the registered ones in the
+buckets they fall into, and opens no others.
 """
 
 from __future__ import annotations
@@ -37,6 +39,9 @@ LONGEST_PERIOD_DAYS = 31
 # A key row is about 150 bytes, so this is some 30 MB at most.
 BROADCAST_SERIES = 200_000
 
+# Buckets of registered series, part of the layout.
+SERIES_BUCKETS = 64
+
 # Batch id of what a compaction wrote; batches written by streams start at 0.
 COMPACTED = -1
 
@@ -45,7 +50,7 @@ _POINTS = "series_key string, ts timestamp, value {type}, " + _BATCH + ", period
 _SERIES = (
     "source string, kind string, metric string, metric_raw string, "
     "series_key string, taghash string, labels map<string,string>, "
-    "created_at timestamp, " + _BATCH
+    "created_at timestamp, " + _BATCH + ", bucket int"
 )
 _REJECTED = "source string, reason string, payload string, " + _BATCH
 
@@ -71,7 +76,17 @@ class Lake:
 
     def series(self) -> DataFrame:
         """Every registered series with its tags."""
-        return self._read("series", _SERIES)
+        return self._read("series", _SERIES).drop("bucket")
+
+    def known_series(self, stream: str, before: int, series: DataFrame) -> DataFrame:
+        """Series that batches before ``before`` registered, in the buckets of ``series``.
+
+        All of ``series`` that are registered are among them.
+        """
+        found = series.select(series_bucket().alias("bucket")).distinct().collect()
+        return self._read("series", _SERIES).where(
+            (F.col("stream") == stream) & (F.col("batch_id") < before) & F.col("bucket").isin([r[0] for r in found])
+        )
 
     def rejected(self) -> DataFrame:
         """Input that could not be stored, and why."""
@@ -159,11 +174,9 @@ class Lake:
         again and writes the same rows.
         """
         place = f"stream={stream}/batch_id={batch_id}"
-        known = self.series().where(
-            (F.col("stream") == stream) & (F.col("batch_id") < batch_id)
-        )
         seen = batch.series.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            known = self.known_series(stream, batch_id, seen)
             fresh = new_series(seen, known).withColumn(
                 "created_at", F.current_timestamp() if created_at is None else created_at
             )
@@ -180,7 +193,8 @@ class Lake:
 
     def _write_series(self, series: DataFrame, place: str) -> None:
         self._overwrite(
-            series, f"series/{place}", ("metric",), ("metric", "series_key")
+            series.withColumn("bucket", series_bucket()), f"series/{place}",
+            ("bucket",), ("bucket", "metric", "series_key"), ("bucket",),
         )
 
     def _write_points(
@@ -231,6 +245,11 @@ def new_series(series: DataFrame, known: DataFrame) -> DataFrame:
     return series.join(known.select(*keys), keys, "left_anti")
 
 
+def series_bucket() -> Column:
+    """Bucket of a series."""
+    return F.pmod(F.xxhash64("metric", "series_key"), F.lit(SERIES_BUCKETS)).cast("int")
+
+
 def utc_day(ts: Column) -> Column:
     """UTC day of ``ts``, so a lake does not depend on the session's time zone."""
     return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
@@ -259,8 +278,8 @@ def compact(lake: Lake, target: Lake) -> None:
     own = F.lit(COMPACTED).cast("bigint").alias("batch_id")
     batch = ("stream", "batch_id")
     target._overwrite(
-        lake.series().select(*SERIES_IDENTITY, "labels", "created_at", "stream", own),
-        "series", ("stream", "metric"), (*batch, "metric", "series_key"), batch,
+        lake.series().select(*SERIES_IDENTITY, "labels", "created_at", "stream", own, series_bucket().alias("bucket")),
+        "series", ("stream", "bucket"), (*batch, "bucket", "metric", "series_key"), (*batch, "bucket"),
     )
     columns = ["metric", "series_key", "ts", "value", "stream"]
     for kind, table in ((values.NUMBER, "samples"), (values.TEXT, "samples_str")):

@@ -359,3 +359,22 @@ def test_work_dir_uses_the_shared_folder(spark):
     path = work_dir(spark, "x")
     assert path != work_dir(spark, "x")
     assert base is None or path.startswith(base)
+
+
+def test_registering_opens_only_the_buckets_of_a_batch(spark, root):
+    lake = Lake(spark, root)
+    for batch_id in range(3):
+        hosts = [f"h{batch_id}-{i}" for i in range(120)]
+        ingest_batch(lake, requests(spark, *[series("m", [("h", h)], [(1, 1.0)]) for h in hosts]), batch_id=batch_id, stream="s")
+    every = lake.series().inputFiles()
+    few = lake.series().where("labels['h'] in ('h0-1', 'h1-7')").select("metric", "series_key")
+    known = lake.known_series("s", 3, few)
+    read = {r[0] for r in known.select(F.input_file_name()).distinct().collect()}
+    buckets = {r[0] for r in few.select(lake_module.series_bucket()).collect()}
+    assert {int(f.split("bucket=")[1].split("/")[0]) for f in read} == buckets
+    assert known.join(few, ["metric", "series_key"]).count() == 2
+    assert len(every) > 100 and len(read) <= 6
+    before = rows(lake.series().select("series_key", "batch_id"))
+    ingest_batch(lake, requests(spark, *[series("m", [("h", h)], [(2, 2.0)]) for h in ("h0-1", "new", "h2-119")]), batch_id=3, stream="s")
+    assert len(rows(lake.series().select("series_key", "batch_id"))) == len(before) + 1
+    assert rows(lake.series().where("batch_id = 3").select("labels")) == [({"h": "new"},)]
