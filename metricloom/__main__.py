@@ -62,6 +62,7 @@ def _parser() -> argparse.ArgumentParser:
     move = jobs.add_parser("compact", help="rewrite a lake into a new root")
     move.add_argument("lake")
     move.add_argument("target")
+    move.add_argument("--latest", action="store_true", help="of points of one series and time keep the latest batch's")
     return parser
 
 
@@ -122,7 +123,7 @@ def main(argv: list[str] | None = None) -> None:
         series = Lake(spark, args.lake).series()
         _write(catalog.describe_metric(series, args.metric), args.output)
     else:
-        compact(Lake(spark, args.lake), Lake(spark, args.target))
+        compact(Lake(spark, args.lake), Lake(spark, args.target), args.latest)
 
 
 if __name__ == "__main__":

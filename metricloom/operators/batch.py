@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -45,6 +46,25 @@ def distinct_series(rows: DataFrame, keep_first: bool = False) -> DataFrame:
     )
 
 
+def catalogue_items(series: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What ``series`` add to the catalogue: ``source, metric, what, item, n, created_at``.
+
+    A row for each tag of a metric, and one, without ``item``, that counts its
+    series of a kind. There are as many rows as a metric has tags, however many
+    series it has, and rows of several batches merge by sum and minimum.
+    ``by`` adds grouping columns.
+    """
+    item = F.concat(
+        F.array(F.struct(F.concat(F.lit("series_"), "kind").alias("what"), F.lit(None).cast("string").alias("item"))),
+        F.transform(F.map_keys("labels"), lambda k: F.struct(F.lit("tag").alias("what"), k.alias("item"))),
+    )
+    return (
+        series.select(*by, "source", "metric", "created_at", F.explode(item).alias("i"))
+        .groupBy(*by, "source", "metric", "i.what", "i.item")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("created_at").alias("created_at"))
+    )
+
+
 def rejects(rows: DataFrame) -> DataFrame:
     """Rows that cannot be stored, as ``(source, reason, payload)``."""
     return rows.where(F.col("reason").isNotNull()).select("source", "reason", "payload")

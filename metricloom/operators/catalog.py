@@ -39,13 +39,17 @@ def infer_tag_schema(series: DataFrame) -> DataFrame:
     origin tags come last. Tag names are made distinct before they are ranked,
     so a task ranks a metric's tag names and never its series.
     """
+    return _ranked(metric_tags(series))
+
+
+def _ranked(tags: DataFrame) -> DataFrame:
     origin = [fixed.SOURCE_TAG, fixed.FIELD_TAG]
     is_origin = (F.col("source") == agent.SOURCE) & F.col("tag").isin(*origin)
     order = Window.partitionBy("source", "metric").orderBy(
         F.when(~is_origin, 0).when(F.col("tag") == fixed.SOURCE_TAG, 1).otherwise(2),
         "tag",
     )
-    ranked = metric_tags(series).withColumn("position", F.row_number().over(order))
+    ranked = tags.withColumn("position", F.row_number().over(order))
     return ranked.select(
         "source", "position", "tag", F.col("metric").alias("base"),
         F.explode(_twins()).alias("suffix"),
@@ -65,6 +69,21 @@ def detect_new_tags(series: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
+def known_tags(lake: Lake) -> DataFrame:
+    """``metric_tags`` of all registered series, from the batches' partial catalogues."""
+    return lake.catalogue().where(F.col("what") == "tag").select("source", "metric", F.col("item").alias("tag")).distinct()
+
+
+def merged_tag_schema(lake: Lake) -> DataFrame:
+    """``infer_tag_schema`` of all registered series, from the partial catalogues."""
+    return _ranked(known_tags(lake))
+
+
+def unknown_tags(series: DataFrame, lake: Lake) -> DataFrame:
+    """Tags of ``series`` that no batch of the lake has brought yet; its series are not read."""
+    return metric_tags(series).join(known_tags(lake), ["source", "metric", "tag"], "left_anti")
+
+
 def list_metrics(series: DataFrame) -> DataFrame:
     """Catalogue: ``name, created_time, columns, tags, tables`` of each table.
 
@@ -72,6 +91,38 @@ def list_metrics(series: DataFrame) -> DataFrame:
     distributed aggregation and only counted per metric, so a metric that has
     most of the series is no hot group.
     """
+    return _listed(_counted(series))
+
+
+def merged_metrics(lake: Lake) -> DataFrame:
+    """``list_metrics`` of all registered series, merged from the batches' partial catalogues.
+
+    What is read grows with batches, metrics and tags. A stream registers a
+    series once, so its counts add up; series of a metric that several streams
+    hold may be the same, and of those metrics alone series are counted anew.
+    """
+    parts = lake.catalogue()
+    key = ["source", "metric"]
+    number = lambda kind: F.sum(F.when(F.col("what") == f"series_{kind}", F.col("n")).otherwise(0))
+    added = (
+        parts.groupBy(*key, "what", "item")
+        .agg(F.min("created_at").alias("created_at"), F.sum("n").alias("n"))
+        .groupBy(*key)
+        .agg(
+            F.min("created_at").alias("created_time"), F.count_if(F.col("what") == "tag").alias("tags"),
+            number(values.NUMBER).alias("numeric"), number(values.TEXT).alias("texts"),
+        )
+    )
+    shared = (
+        parts.groupBy(*key).agg((F.min("stream") < F.max("stream")).alias("shared")).where("shared").select(*key)
+    )
+    if shared.isEmpty():
+        return _listed(added)
+    again = _counted(lake.series().join(shared, key, "left_semi"))
+    return _listed(added.join(shared, key, "left_anti").unionByName(again))
+
+
+def _counted(series: DataFrame) -> DataFrame:
     item = F.concat(
         F.array(F.struct(F.concat(F.lit("series_"), "kind").alias("what"), F.col("series_key").alias("item"))),
         F.transform(F.map_keys("labels"), lambda k: F.struct(F.lit("tag").alias("what"), k.alias("item"))),
@@ -81,12 +132,15 @@ def list_metrics(series: DataFrame) -> DataFrame:
         .groupBy("source", "metric", "i.what", "i.item")
         .agg(F.min("created_at").alias("created_at"))
     )
-    per_metric = folded.groupBy("source", "metric").agg(
+    return folded.groupBy("source", "metric").agg(
         F.min("created_at").alias("created_time"),
         F.count_if(F.col("what") == "tag").alias("tags"),
         F.count_if(F.col("what") == f"series_{values.NUMBER}").alias("numeric"),
         F.count_if(F.col("what") == f"series_{values.TEXT}").alias("texts"),
     )
+
+
+def _listed(per_metric: DataFrame) -> DataFrame:
     hash_tag = F.when(F.col("source") == remote.SOURCE, 1).otherwise(0)
     return per_metric.withColumn("suffix", F.explode(_twins())).select(
         F.concat("metric", "suffix").alias("name"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from metricloom import fixed
 from metricloom.functions import labels as L, values
 from metricloom.operators.matchers import (
     Matcher,
@@ -12,11 +13,15 @@ from metricloom.operators.matchers import (
     Query,
     matcher_predicate,
 )
-from metricloom.sources.lake import Lake, in_period
+from metricloom.session import work_dir
+from metricloom.sources.lake import Lake, in_period, latest
 
 # Time a row of a series covers; callers with denser series give less.
 FRAME_MS = 86_400_000
 
+# Samples in a chunk of a series.
+CHUNK_ROWS = 10_000
+
 SERIES_KEYS = ["stream", "metric", "series_key"]
 
 
@@ -63,6 +68,20 @@ def read_points(lake: Lake, query: Query, options: Options = Options()) -> DataF
     ).drop("stream")
 
 
+def read_latest(lake: Lake, query: Query, options: Options = Options()) -> DataFrame:
+    """``read_points``, but a series has one point for each time: the latest batch's.
+
+    Points whose series no label matcher selects are dropped before they are
+    compared.
+    """
+    wanted = matcher_predicate(lake.spark, query.matchers, options)
+    series = numeric_series(lake).where(wanted.metric & wanted.labels).select(*SERIES_KEYS, "labels")
+    points = lake.points().where(wanted.metric & _range(query.start_ms, query.end_ms))
+    if any(m.name != fixed.NAME_LABEL for m in query.matchers):
+        points = points.join(series.select(*SERIES_KEYS), SERIES_KEYS, "left_semi")
+    return with_tags(latest(points).drop("batch_id"), series).drop("stream")
+
+
 def read_many(
     lake: Lake,
     queries: Sequence[Query],
@@ -173,6 +192,51 @@ def series_frames(
     )
 
 
+def series_chunks(
+    points: DataFrame, by: Sequence[str] = (), chunk_rows: int = CHUNK_ROWS, work: str | None = None
+) -> DataFrame:
+    """Points grouped to series rows of ``chunk_rows`` samples each, in time order.
+
+    For series so dense that a frame of any length may be too much for a row.
+    Samples of a series are ordered by time, then value, nulls first, and cut
+    every ``chunk_rows``; ``chunk`` counts from 0, and a series' last chunk may
+    be shorter. Rows are the same under every partitioning.
+
+    The sorted points are dealt out by ranges of series, time and value, so a
+    series of any length lies in many tasks, and written under ``work`` (a new
+    folder by default, the caller's to remove). Only counts, a row for each
+    series in each task, are added up to give the samples their places.
+    """
+    if chunk_rows < 1:
+        raise ValueError("a chunk holds one sample or more")
+    keys = [*by, "labels"]
+    order = [*keys, "ts", "value"]
+    path = work or work_dir(points.sparkSession, "chunks")
+    (
+        label_set(points).select(*order, "metric").repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("place", F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
+    )
+    # The upper bits of a place are its task, whose order is the ranges'.
+    placed = points.sparkSession.read.parquet(path).withColumn("task", F.shiftright("place", 33))
+    before = Window.partitionBy(*keys).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    runs = (
+        placed.groupBy(*keys, "task").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+        .withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first"))
+    )
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*keys, "task")]
+    numbered = placed.alias("p").join(runs.alias("r"), same).select(
+        "p.*", F.floor((F.col("place") + F.col("shift")) / chunk_rows).alias("chunk")
+    )
+    return (
+        numbered.groupBy(*keys, "chunk")
+        .agg(F.min("metric").alias("metric"), F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("samples"))
+        .select(
+            *by, "metric", "labels", "chunk", F.element_at("samples", 1)["ts"].alias("first_ts"),
+            F.element_at("samples", -1)["ts"].alias("last_ts"), "samples",
+        )
+    )
+
+
 def read_series(
     lake: Lake, query: Query, options: Options = Options(), frame_ms: int = FRAME_MS
 ) -> DataFrame:

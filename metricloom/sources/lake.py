@@ -5,6 +5,7 @@
     samples/stream=S/batch_id=N/period=D/metric=M/      series_key, ts, value DOUBLE
     samples_str/stream=S/batch_id=N/period=D/metric=M/  series_key, ts, value STRING
     series/stream=S/batch_id=N/bucket=B/                one row per new series
+    catalogue/stream=S/batch_id=N/                      counts of the new series and their tags
     rejected/stream=S/batch_id=N/                       source, reason, payload
     _claims/stream=S/N                                  whose batch it is
 
@@ -30,7 +31,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metricloom.functions import values
-from metricloom.operators.batch import Batch, SERIES_IDENTITY
+from metricloom.operators.batch import Batch, SERIES_IDENTITY, catalogue_items
 from metricloom.sources import files
 
 GRAINS = ("day", "month")
@@ -52,6 +53,7 @@ _SERIES = (
     "series_key string, taghash string, labels map<string,string>, "
     "created_at timestamp, " + _BATCH + ", bucket int"
 )
+_CATALOGUE = "source string, metric string, what string, item string, n bigint, created_at timestamp, " + _BATCH
 _REJECTED = "source string, reason string, payload string, " + _BATCH
 
 
@@ -78,6 +80,10 @@ class Lake:
         """Every registered series with its tags."""
         return self._read("series", _SERIES).drop("bucket")
 
+    def catalogue(self) -> DataFrame:
+        """What each batch added to the catalogue, see ``batch.catalogue_items``."""
+        return self._read("catalogue", _CATALOGUE)
+
     def known_series(self, stream: str, before: int, series: DataFrame) -> DataFrame:
         """Series that batches before ``before`` registered, in the buckets of ``series``.
 
@@ -145,7 +151,7 @@ class Lake:
     def abandon(self, stream: str, batch_id: int) -> None:
         """Give up a claimed batch whose job is dead, with all it may have written."""
         place = f"stream={stream}/batch_id={batch_id}"
-        for table in ("samples", "samples_str", "rejected", "series", "_staging"):
+        for table in ("samples", "samples_str", "rejected", "catalogue", "series", "_staging"):
             files.remove(self.spark, f"{self.root}/{table}/{place}")
         files.remove(self.spark, f"{self.root}/_claims/stream={stream}/{batch_id}")
 
@@ -181,6 +187,8 @@ class Lake:
                 "created_at", F.current_timestamp() if created_at is None else created_at
             )
             self._write_series(fresh, place)
+            written = self.spark.read.schema(_SERIES).parquet(f"{self.root}/series/{place}")
+            self._overwrite(catalogue_items(written), f"catalogue/{place}", rebalance_by=())
             self._write_points(batch.points, f"samples/{place}")
             if batch.text_points is not None:
                 self._write_points(batch.text_points, f"samples_str/{place}")
@@ -245,6 +253,21 @@ def new_series(series: DataFrame, known: DataFrame) -> DataFrame:
     return series.join(known.select(*keys), keys, "left_anti")
 
 
+def latest(points: DataFrame) -> DataFrame:
+    """Points of a lake, one for each series and time of a stream: the latest batch's.
+
+    A batch that repeats a time itself keeps its largest value; a null counts
+    as least. Rows are dealt out by series *and* time, so a hot series is no
+    hot group. Batches of streams have no common order, so streams stay apart.
+    """
+    keys = ["stream", "metric", "series_key", "ts"]
+    return (
+        points.repartition(*keys).groupBy(*keys)
+        .agg(F.max(F.struct("batch_id", "value")).alias("last"))
+        .select(*keys, "last.batch_id", "last.value")
+    )
+
+
 def series_bucket() -> Column:
     """Bucket of a series."""
     return F.pmod(F.xxhash64("metric", "series_key"), F.lit(SERIES_BUCKETS)).cast("int")
@@ -265,12 +288,14 @@ def in_period(lo: Column, hi: Column) -> Column:
     )
 
 
-def compact(lake: Lake, target: Lake) -> None:
+def compact(lake: Lake, target: Lake, latest_only: bool = False) -> None:
     """Rewrite a lake into a new root, each stream as its batch ``COMPACTED``.
 
     Streams stay apart, as a series is registered once in each, with the tags
     that stream stores. The batch comes before any that a stream writes, so
-    its series count as known and no later batch overwrites it. Readers move
+    its series count as known and no later batch overwrites it. All become one
+    batch, so which of two points of a series and time came later is lost; with
+    ``latest_only`` the later one alone is kept. Readers move
     over by opening ``target`` once this returns; the old root is left as it is.
     """
     if lake.root == target.root:
@@ -283,8 +308,11 @@ def compact(lake: Lake, target: Lake) -> None:
     )
     columns = ["metric", "series_key", "ts", "value", "stream"]
     for kind, table in ((values.NUMBER, "samples"), (values.TEXT, "samples_str")):
-        points = lake.points(kind).select(*columns, own)
+        points = lake.points(kind)
+        points = (latest(points) if latest_only else points).select(*columns, own)
         target._write_points(points, table, batch)
+    added = catalogue_items(target.series(), ("stream",)).withColumn("batch_id", own)
+    target._overwrite(added, "catalogue", (), batch, batch)
     rejected = lake.rejected().select("source", "reason", "payload", "stream", own)
     target._overwrite(rejected, "rejected", (), batch, batch)
 

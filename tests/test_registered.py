@@ -4,11 +4,11 @@ from contextlib import redirect_stdout
 import pytest
 
 import __spark_entry__ as entry
-from metricloom.plans import normalising, reading, requests, upkeep
+from metricloom.plans import normalising, reading, requests, revisions, upkeep
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted({**normalising.QUERIES, **reading.QUERIES, **requests.QUERIES, **upkeep.QUERIES})
+NAMES = sorted({**normalising.QUERIES, **reading.QUERIES, **requests.QUERIES, **revisions.QUERIES, **upkeep.QUERIES})
 
 
 @pytest.fixture(scope="module")
