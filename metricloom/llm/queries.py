@@ -27,13 +27,13 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to WARC archives and read back."""
+    """Every page written to WARC archives and read back, responses judged by the payload itself."""
     path = work_dir(spark, "warc")
     warc.archive(read_table(spark, sf_dir, "pages"), path)
-    records = warc.read(spark, path, payload=False).where(F.col("record_type").isin("response", "revisit"))
-    return records.select(
+    records = warc.read(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    return warc.intact(records).select(
         warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
-        "record_type", warc.page_id(F.col("refers_to")).alias("refers_to"),
+        "record_type", warc.page_id(F.col("refers_to")).alias("refers_to"), "intact",
     )
 
 
@@ -319,6 +319,7 @@ ORACLES: dict[str, str] = {
                           max(page_id) OVER (PARTITION BY html) AS holder FROM p)
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
                CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to
+               CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to,
+               CASE WHEN n < 1000 OR page_id = holder THEN true END AS intact
         FROM m""",
 }

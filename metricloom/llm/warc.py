@@ -6,9 +6,13 @@ record's headers are parsed first; one that the filters refuse, or whose
 payload no column asks for, is passed over by its length, and its block is
 never decoded (in plain files it is not even read).
 
-Writing: one file or more for each task, under a name of that task attempt;
-they get their final names when the job commits, so a task that runs twice or
-is lost leaves nothing behind. ``.warc`` and ``.warc.gz`` (one member for each
+Rows reach Spark in Arrow batches cut by bytes, so long payloads don't add up.
+
+Writing: one file or more for each task, under ``_pending/<job>`` and a name of
+that task attempt. When the job commits, the files of the attempts that Spark
+counts move out of there and the job's folder is removed with what lost or
+repeated attempts left. Readers pass over folders and files whose name starts
+with ``_`` or ``.``, so they never see such files. ``.warc`` and ``.warc.gz`` (one member for each
 record) are read and written. Paths may be of any store that pyarrow opens.
 
 :func:`archive` turns pages into records and stores equal payloads once: the
@@ -22,8 +26,11 @@ import gzip
 import hashlib
 import io
 import uuid
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import (
@@ -39,6 +46,9 @@ SCHEMA = (
 REVISIT_FROM = 1000  # bytes; smaller payloads are always stored
 FILE_BYTES = 64 << 20
 TARGET_BYTES = 128 << 20
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 4096
+MOVES = 32  # files moved at a time when a job commits
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -86,6 +96,26 @@ def read_headers(stream) -> tuple[dict[str, str], int] | None:
     return headers_of(block.rstrip(b"\r\n")), len(block)
 
 
+def batches(rows: Iterable[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of ``rows`` that end at ``BATCH_ROWS`` rows or ``BATCH_BYTES`` of payload."""
+    types = {"payload_bytes": pa.int64(), "payload": pa.binary()}
+    schema = pa.schema([(name, types.get(name, pa.string())) for name in names])
+    at = names.index("payload") if "payload" in names else None
+
+    def made(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[at] or b"") if at is not None else 0
+        if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield made(held)
+            held, size = [], 0
+    if held:
+        yield made(held)
+
+
 class Reader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict) -> None:
         self.names = schema.names
@@ -109,7 +139,10 @@ class Reader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         store, path = open_store(self.options["path"])
         found = store.get_file_info(pafs.FileSelector(path, recursive=True, allow_not_found=True))
-        files = sorted((x.path, x.size) for x in found if x.is_file and x.path.endswith((".warc", ".warc.gz")))
+        seen = lambda name: not any(part.startswith(("_", ".")) for part in name[len(path.rstrip("/")):].split("/"))
+        files = sorted(
+            (x.path, x.size) for x in found if x.is_file and x.path.endswith((".warc", ".warc.gz")) and seen(x.path)
+        )
         target = int(self.options.get("targetbytes", self.options.get("targetBytes", TARGET_BYTES)))
         out, held, size = [], [], 0
         for name, length in files:
@@ -120,7 +153,10 @@ class Reader(DataSourceReader):
             size += length
         return [*out, *([Files(held)] if held else [])] or [Files([])]
 
-    def read(self, partition: Files):
+    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
+        return batches(self._rows(partition), self.names)
+
+    def _rows(self, partition: Files) -> Iterator[tuple]:
         store, _ = open_store(self.options["path"])
         for name in partition.paths:
             with store.open_input_file(name) as raw:
@@ -198,20 +234,21 @@ def record(row) -> bytes:
 class Writer(DataSourceWriter):
     def __init__(self, options: dict) -> None:
         self.path = options["path"]
+        self.pending = f"_pending/{uuid.uuid4().hex}"
         self.gz = options.get("compression", "gzip").lower() == "gzip"
         self.most = int(options.get("filebytes", options.get("fileBytes", FILE_BYTES)))
 
     def write(self, iterator) -> Written:
         store, path = open_store(self.path)
         attempt, files, out, size = uuid.uuid4().hex, [], None, 0
-        store.create_dir(f"{path}/_pending", recursive=True)
+        store.create_dir(f"{path}/{self.pending}", recursive=True)
         try:
             for row in iterator:
                 if out is None or size > self.most:
                     if out is not None:
                         out.close()
                     name = f"{attempt}-{len(files):05d}.warc" + (".gz" if self.gz else "")
-                    out, size = store.open_output_stream(f"{path}/_pending/{name}", compression=None), 0
+                    out, size = store.open_output_stream(f"{path}/{self.pending}/{name}", compression=None), 0
                     files.append(name)
                 data = record(row)
                 data = gzip.compress(data, 6, mtime=0) if self.gz else data
@@ -224,15 +261,19 @@ class Writer(DataSourceWriter):
 
     def commit(self, messages) -> None:
         store, path = open_store(self.path)
-        for message in messages:
-            for name in message.files if message else ():
-                store.move(f"{path}/_pending/{name}", f"{path}/{name}")
+        names = [name for message in messages if message for name in message.files]
+        move: Callable[[str], None] = lambda name: store.move(f"{path}/{self.pending}/{name}", f"{path}/{name}")
+        with ThreadPoolExecutor(MOVES) as pool:
+            for _ in pool.map(move, names):
+                pass
+        self._clear(store, path)
 
     def abort(self, messages) -> None:
-        store, path = open_store(self.path)
-        for message in messages:
-            for name in message.files if message else ():
-                store.delete_file(f"{path}/_pending/{name}")
+        self._clear(*open_store(self.path))
+
+    def _clear(self, store: pafs.FileSystem, path: str) -> None:
+        if store.get_file_info(f"{path}/{self.pending}").type == pafs.FileType.Directory:
+            store.delete_dir(f"{path}/{self.pending}")
 
 
 class WarcDataSource(DataSource):
@@ -299,6 +340,24 @@ def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
 
 
+def intact(records: DataFrame) -> DataFrame:
+    """``records``, read with payloads, where length and digest are the payload's own.
+
+    A response's ``payload_bytes`` and ``payload_digest`` are measured on the
+    payload that was read, and ``intact`` says whether its headers agree. Other
+    records carry no payload; they keep their headers' and ``intact`` is null.
+    """
+    stored = F.col("record_type") == "response"
+    size, digest = F.octet_length("payload").cast("long"), F.sha1("payload")
+    return records.withColumns({
+        "payload_bytes": F.when(stored, size).otherwise(F.col("payload_bytes")),
+        "payload_digest": F.when(stored, digest).otherwise(F.col("payload_digest")),
+        "intact": F.when(
+            stored, F.col("payload_bytes").eqNullSafe(size) & F.col("payload_digest").eqNullSafe(digest)
+        ),
+    })
+
+
 def page_id(urn: Column) -> Column:
     """The id in ``<urn:page:ID>``, null for none."""
     return F.regexp_extract(urn, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")

@@ -120,6 +120,51 @@ def test_warc_round_trip(spark, compression):
     assert base64.b32encode(bytes.fromhex(found["<urn:page:4>"]["payload_digest"]))
 
 
+def test_warc_files_of_lost_attempts_are_not_read(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"page {i}") for i in range(9)], "page_id long, url string, html string")
+    path = f"{tmp_path}/archive"
+    dead = warc.Writer({"path": path})
+    row = {"record_type": "response", "record_id": "<urn:page:3>", "target_uri": "http://a/3", "date": None,
+           "payload_digest": hashlib.sha1(b"page 3").hexdigest(), "refers_to": None, "payload_bytes": 6,
+           "content_type": None, "payload": b"page 3"}
+
+    def until_killed():
+        yield row
+        raise RuntimeError("killed")
+
+    with pytest.raises(RuntimeError):
+        dead.write(until_killed())
+    lost = dead.write(iter([row]))  # finished, then its executor was lost
+    counted = dead.write(iter([row, row]))
+    assert warc.read(spark, path).count() == 0
+    dead.commit([counted, None])
+    assert warc.read(spark, path).count() == 2 and lost.files
+    assert not list((tmp_path / "archive").glob("_pending/*"))
+    warc.Writer({"path": path}).abort([None])
+    again = f"{tmp_path}/again"
+    warc.archive(pages.repartition(4), again)
+    assert sorted(r["page_id"] for r in warc.read(spark, again).select(warc.page_id(F.col("record_id")).alias("page_id")).collect()) == list(range(9))
+    assert not list((tmp_path / "again").glob("_pending/*"))
+
+
+def test_warc_payloads_are_measured(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BATCH_BYTES", 10)
+    row = {"record_type": "response", "record_id": "<urn:page:1>", "target_uri": None, "date": None, "refers_to": None,
+           "payload_digest": hashlib.sha1(b"good").hexdigest(), "payload_bytes": 4, "content_type": None, "payload": b"good"}
+    revisit = row | {"record_id": "<urn:page:3>", "record_type": "revisit", "refers_to": "<urn:page:1>", "payload": None}
+    out = warc.Writer({"path": str(tmp_path)})
+    out.commit([out.write(iter([row, row | {"record_id": "<urn:page:2>", "payload": b"evil"}, revisit]))])
+    got = {r["record_id"]: (r["intact"], r["payload_digest"]) for r in warc.intact(warc.read(spark, str(tmp_path))).collect()}
+    assert got == {
+        "<urn:page:1>": (True, row["payload_digest"]), "<urn:page:2>": (False, hashlib.sha1(b"evil").hexdigest()),
+        "<urn:page:3>": (None, row["payload_digest"]),
+    }
+    long_ = spark.createDataFrame([(i, "u", "é" * n) for i, n in enumerate([0, 3_000_000, 5, 9_000_000, 1])], "page_id long, url string, html string")
+    path = f"{tmp_path}/long"
+    warc.archive(long_, path)
+    assert sorted(r[0] for r in warc.intact(warc.read(spark, path)).where("intact").select("payload_bytes").collect()) == [0, 2, 10, 6_000_000, 18_000_000]
+
+
 def brute_repeats(texts, window):
     count = collections.Counter(t[p:p + window] for t in texts for p in range(len(t) - window + 1))
     out = []
