@@ -29,6 +29,17 @@ _TYPES = {
 }
 
 
+#: Rounds of levels after which what is known is written anew, so plans stay short.
+ROUNDS = 16
+
+
+def _is(value: Column, type_: str) -> Column:
+    """Whether a variant has a type of ``_TYPES``; integers may have up to 38 digits."""
+    full = F.schema_of_variant(value)
+    plain = F.regexp_extract(full, r"^(\w+)", 1).isin(_TYPES[type_])
+    return plain | full.rlike(r"^DECIMAL\(\d+, *0\)$") if type_ == "integer" else plain
+
+
 def argument_errors(name: Column, arguments: Column, schemas: dict) -> Column:
     """Sorted faults of a variant of arguments; empty if it fits its tool's schema."""
     kind = lambda v: F.regexp_extract(F.schema_of_variant(v), r"^(\w+)", 1)
@@ -40,7 +51,7 @@ def argument_errors(name: Column, arguments: Column, schemas: dict) -> Column:
             missing = value.isNull() | (kind(value) == "VOID")
             if required:
                 checks.append(F.when(missing, F.lit(f"missing:{field}")))
-            checks.append(F.when(~missing & ~kind(value).isin(_TYPES[type_]), F.lit(f"type:{field}")))
+            checks.append(F.when(~missing & ~_is(value, type_), F.lit(f"type:{field}")))
         known = F.array(*map(F.lit, fields))
         keys = F.map_keys(F.try_variant_get(arguments, "$", "map<string,variant>"))
         extra = F.transform(F.array_except(keys, known), lambda k: F.concat(F.lit("extra:"), k))
@@ -121,7 +132,7 @@ def levels(calls: DataFrame) -> DataFrame:
         ),
         "several",
     )
-    more = not several.isEmpty()
+    more, rounds = not several.isEmpty(), 0
     while more:
         known = done.select("conv", F.col("call_id").alias("dep"), "level")
         ready = (
@@ -131,7 +142,9 @@ def levels(calls: DataFrame) -> DataFrame:
         )
         new = stored(ready.join(done, ["conv", "call_id"], "left_anti"), "levels")
         more = not new.isEmpty()
-        done = done.unionByName(new)
+        done, rounds = done.unionByName(new), rounds + 1
+        if rounds % ROUNDS == 0:
+            done = stored(done, "levels")
     known = done.select("conv", F.col("call_id").alias("target"), "level")
     return done.unionByName(
         behind.join(known, ["conv", "target"]).select("conv", "call_id", (F.col("level") + F.col("dist")).alias("level"))
@@ -139,27 +152,35 @@ def levels(calls: DataFrame) -> DataFrame:
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
-    """One row for each call, and for each result without a call.
+    """One row for each call, each result without a call, and each further result of a call.
 
     ``calls``: conv, call_id, turn, seq, name, arguments (JSON text), after
-    (ids of calls it builds on). ``results``: conv, call_id, turn, content.
-    Both may have more columns, which are ignored.
+    (ids of calls it builds on). ``results``: conv, call_id, turn, content and,
+    if there is one, role, else ``user``. Both may have more columns, which are
+    ignored.
 
     Columns: conv, call_id, level, turn, seq, status, errors, n_results, json.
     Status is ``linked``, ``pending`` (no result), ``cyclic``, ``invalid``
     (arguments do not fit), ``duplicate`` (an earlier call has the id),
-    ``no_id`` (conversation or id is null), or ``unlinked`` for a result. The
-    first result by (turn, content) counts. Unparsable or null arguments are
-    not an object; ids in ``after`` that no call has are ignored. An empty
-    table on either side is fine.
+    ``no_id`` (conversation or id is null), or for a result ``unlinked`` or
+    ``further``. The first result by (turn, content, role) is part of its call's
+    line; each later one is a ``further`` row that names the call, so (turn)
+    gives their order and a call with any number of results is never gathered.
+    Equal results of a call are counted in ``n_results`` and given once.
+    Unparsable or null arguments are not an object, and their text stays as
+    ``arguments_raw``; ids in ``after`` that no call has are ignored. Null
+    fields, a null role too, are left out of the JSON. An empty table on either
+    side is fine.
     """
+    role = F.col("role") if "role" in results.columns else F.lit("user")
+    results = results.select("conv", "call_id", "turn", "content", role.cast("string").alias("role"))
     calls = calls.select(
         "conv", "call_id", "turn", "seq", "name", "arguments",
         F.coalesce("after", F.array().cast("array<string>")).alias("after"),
     )
     answers = (
         results.where("conv IS NOT NULL AND call_id IS NOT NULL").groupBy("conv", "call_id")
-        .agg(F.min(F.struct("turn", "content")).alias("first"), F.count("*").alias("n_results"))
+        .agg(F.min(F.struct("turn", "content", "role")).alias("first"), F.count("*").alias("n_results"))
     )
     leads = calls.groupBy("conv", "call_id").agg(F.min(F.struct("turn", "seq")).alias("lead"))
     keys = ["conv", "call_id"]
@@ -180,20 +201,33 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> Dat
         .otherwise("linked")
     )
     line = F.to_json(F.struct(
-        F.sort_array("after").alias("after"), F.col("parsed").alias("arguments"), "call_id", "name",
-        F.col("first.content").alias("result"), F.lit("assistant").alias("role"),
+        F.sort_array("after").alias("after"), F.col("parsed").alias("arguments"),
+        F.when(F.col("parsed").isNull(), F.col("arguments")).alias("arguments_raw"), "call_id", "name",
+        F.col("first.content").alias("result"), F.col("first.role").alias("result_role"),
+        F.lit("assistant").alias("role"),
     ))
     done = rows.select(
         "conv", "call_id", F.col("level").cast("int").alias("level"), "turn", "seq", status.alias("status"),
         "errors", F.coalesce("n_results", F.lit(0).cast("long")).alias("n_results"), line.alias("json"),
     )
-    alone = results.join(calls.select(*keys).distinct(), keys, "left_anti")
-    plain = F.to_json(F.struct(F.col("content"), F.lit("user").alias("role")))
-    return done.unionByName(alone.select(
-        "conv", "call_id", F.lit(None).cast("int").alias("level"), "turn", F.lit(0).cast("int").alias("seq"),
-        F.lit("unlinked").alias("status"), F.array().cast("array<string>").alias("errors"),
-        F.lit(0).cast("long").alias("n_results"), plain.alias("json"),
-    ))
+    known = calls.select(*keys).distinct()
+    alone = results.join(known, keys, "left_anti")
+    later = (
+        results.join(answers.where("n_results > 1").join(known, keys, "left_semi"), keys)
+        .where(F.struct("turn", "content", "role") != F.col("first")).select(*results.columns).distinct()
+    )
+
+    def given(rows: DataFrame, status: str, call_id: Column) -> DataFrame:
+        line = F.to_json(F.struct(call_id.alias("call_id"), "content", "role"))
+        return rows.select(
+            "conv", "call_id", F.lit(None).cast("int").alias("level"), "turn", F.lit(0).cast("int").alias("seq"),
+            F.lit(status).alias("status"), F.array().cast("array<string>").alias("errors"),
+            F.lit(0).cast("long").alias("n_results"), line.alias("json"),
+        )
+
+    return done.unionByName(given(alone, "unlinked", F.lit(None).cast("string"))).unionByName(
+        given(later, "further", F.col("call_id"))
+    )
 
 
 def calls_of(turns: DataFrame) -> DataFrame:
@@ -222,9 +256,9 @@ def calls_of(turns: DataFrame) -> DataFrame:
 
 
 def results_of(turns: DataFrame) -> DataFrame:
-    """Other turns as results of the call in the turn before."""
+    """Other turns, with their role, as results of the call in the turn before."""
     return turns.where("role IS DISTINCT FROM 'assistant'").select(
         F.col("conv_id").alias("conv"),
         F.concat_ws(":", F.lit("call"), (F.col("turn") - 1).cast("string")).alias("call_id"),
-        "turn", F.col("text").alias("content"),
+        "turn", F.col("text").alias("content"), "role",
     )

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import json
 import math
+import random
 import re
 import zlib
 
@@ -201,6 +202,8 @@ def test_tool_calls(spark):
     got = {(r["conv"], r["call_id"], r["turn"]): r for r in chat.linked(calls, results).collect()}
     assert (got[1, "a", 1]["status"], got[1, "a", 1]["n_results"], got[1, "a", 1]["level"]) == ("linked", 2, 0)
     assert json.loads(got[1, "a", 1]["json"])["result"] == "r"
+    assert got[1, "a", 4]["status"] == "further" and json.loads(got[1, "a", 4]["json"]) == {"call_id": "a", "content": "s", "role": "user"}
+    assert json.loads(got[1, "d", 7]["json"])["arguments_raw"] == "not json"
     assert got[1, "b", 3]["errors"] == ["extra:z", "type:limit"] and got[1, "b", 3]["level"] == 1
     assert got[1, "c", 5]["status"] == "linked" and got[1, "c", 5]["level"] == 2
     assert '"arguments":{"limit":1,"query":"q"}' in got[1, "c", 5]["json"]
@@ -210,6 +213,68 @@ def test_tool_calls(spark):
     assert chat.linked(calls.limit(0), results.limit(0)).count() == 0
 
 
+def brute_links(calls, results):
+    """(conv, call_id, turn, seq, status, n_results, JSON value) of every row, by plain loops."""
+    known = {(c["conv"], c["call_id"]) for c in calls}
+    by_call, order = {}, lambda r: tuple((v is not None, v if v is not None else 0) for v in r)
+    for conv, call_id, *rest in results:
+        if conv is not None and call_id is not None:
+            by_call.setdefault((conv, call_id), []).append(tuple(rest))
+    out, lead = [], {}
+    for c in calls:
+        key = (c["conv"], c["call_id"])
+        lead[key] = min(lead.get(key, (c["turn"], c["seq"])), (c["turn"], c["seq"]))
+    for c in calls:
+        key = (c["conv"], c["call_id"])
+        found = sorted(by_call.get(key, []), key=order)
+        try:
+            parsed = json.loads(c["arguments"])
+        except ValueError:
+            parsed = None
+        fits = isinstance(parsed, dict) and set(parsed) <= {"query", "limit"} and isinstance(parsed.get("query"), str) and (
+            parsed.get("limit") is None or type(parsed["limit"]) is int)
+        status = ("no_id" if None in key else "duplicate" if (c["turn"], c["seq"]) != lead[key] else "invalid" if not fits
+                  else "linked" if found else "pending")
+        first = found[0] if found else (None, None, None)
+        value = {"after": [], "arguments": parsed, "arguments_raw": None if parsed is not None else c["arguments"], "call_id": c["call_id"],
+                 "name": "search", "result": first[1], "result_role": first[2], "role": "assistant"}
+        out.append((*key, c["turn"], c["seq"], status, len(found), value))
+    for key, found in by_call.items():
+        if key in known:
+            firsts = sorted(set(found), key=order)
+            out += [(*key, t, 0, "further", 0, {"call_id": key[1], "content": text, "role": role}) for t, text, role in firsts[1:]]
+    for conv, call_id, turn, text, role in results:
+        if None in (conv, call_id) or (conv, call_id) not in known:
+            out.append((conv, call_id, turn, 0, "unlinked", 0, {"content": text, "role": role}))
+    return [(*r[:6], {k: v for k, v in r[6].items() if v is not None}) for r in out]
+
+
+def test_links_agree_with_plain_loops(spark):
+    rng = random.Random(11)
+    arguments = ['{"query":"q"}', '{"query":"é","limit":3}', '{"limit":1}', '{"query":"q","limit":123456789012345678901234}', "[1]", "broken {", '{"query":"q","limit":1.5}']
+    ids = [None, *"abcdef"]
+    calls = [{"conv": rng.choice([None, 1, 2]), "call_id": rng.choice(ids), "turn": rng.randrange(9), "seq": rng.randrange(2),
+              "name": "search", "arguments": rng.choice(arguments)} for _ in range(60)]
+    # Calls of one id and place would be equal leads; they are drawn once.
+    calls = list({(c["conv"], c["call_id"], c["turn"], c["seq"]): c for c in calls}.values())
+    results = [(rng.choice([None, 1, 2, 3]), rng.choice(ids), rng.randrange(5), rng.choice([None, "", "r", "s"]), rng.choice(["user", "system", "tool", None]))
+               for _ in range(150)]
+    made = spark.createDataFrame([(*c.values(), [], "x") for c in calls],
+                                 "conv long, call_id string, turn int, seq int, name string, arguments string, after array<string>, first string")
+    given = spark.createDataFrame(results, "conv long, call_id string, turn int, content string, role string")
+    got = [(r["conv"], r["call_id"], r["turn"], r["seq"], r["status"], r["n_results"], json.loads(r["json"])) for r in chat.linked(made, given).collect()]
+    told = lambda rows: sorted(repr((*r[:6], json.dumps(r[6], sort_keys=True))) for r in rows)
+    assert told(got) == told(brute_links(calls, results))
+
+
+def test_turns_keep_their_roles(spark):
+    turns = spark.createDataFrame([(1, 0, "system", "rules"), (1, 1, "assistant", "a"), (1, 2, "tool", "t"), (1, 3, None, "n"), (1, 4, "user", None)],
+                                  "conv_id long, turn int, role string, text string")
+    got = {r["turn"]: json.loads(r["json"]) for r in chat.linked(chat.calls_of(turns), chat.results_of(turns)).collect()}
+    assert got[0] == {"content": "rules", "role": "system"} and got[3] == {"content": "n"} and got[4] == {"role": "user"}
+    assert (got[1]["result"], got[1]["result_role"], got[1]["role"]) == ("t", "tool", "assistant")
+
+
 def test_calls_carry_whole_turns_and_link_on(spark):
     text = lambda i: prose(i, 150) + f" end {i}"
     turns = spark.createDataFrame(
