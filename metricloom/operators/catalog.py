@@ -13,6 +13,7 @@ from metricloom.operators import agent, remote
 from metricloom.operators.reads import SERIES_KEYS, with_tags
 from metricloom.sources.lake import Lake
 
+# Columns of a wide table that callers get without asking for more.
 MAX_WIDE_TAGS = 10_000
 
 
@@ -224,17 +225,19 @@ def scan_metric(lake: Lake, name: str, kind: str = values.NUMBER) -> DataFrame:
 
 
 def wide_view(
-    lake: Lake, name: str, source: str | None = None, tags: Sequence[str] | None = None
+    lake: Lake, name: str, source: str | None = None, tags: Sequence[str] | None = None,
+    max_columns: int | None = MAX_WIDE_TAGS,
 ) -> DataFrame:
     """One metric table with a column per tag; a missing tag is null.
 
     The columns of a DataFrame are part of its plan, so tag names are looked
-    up first unless given; points are not touched for that.
+    up first unless given; points are not touched for that. A table of more
+    than ``max_columns`` columns is refused, unless that is None.
     """
     found = _structure(lake.series(), name).select("source", "position", "field", "type", "note")
-    rows = found.limit(MAX_WIDE_TAGS + 1).collect()
-    if len(rows) > MAX_WIDE_TAGS:
-        raise ValueError(f"{name!r} has more than {MAX_WIDE_TAGS} columns, name the tags")
+    rows = (found if max_columns is None else found.limit(max_columns + 1)).collect()
+    if max_columns is not None and len(rows) > max_columns:
+        raise ValueError(f"{name!r} has more than {max_columns} columns, raise max_columns")
     sources = {row["source"] for row in rows} & ({source} if source else {remote.SOURCE, agent.SOURCE})
     if len(sources) != 1:
         raise ValueError(f"no metric {name!r}" if not sources else f"give the source of {name!r}")

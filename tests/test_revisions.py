@@ -79,6 +79,15 @@ def test_catalogue_merges_to_a_full_count(spark, root):
     merged_is_full(lake)
 
 
+def test_width_of_wide_tables_is_the_callers(spark, root):
+    lake = Lake(spark, root)
+    ingest(lake, 0, series("m", [("a", "1"), ("b", "2")], [(1, 1.0)]))
+    with pytest.raises(ValueError, match="more than 4 columns"):
+        catalog.wide_view(lake, "m", max_columns=4)
+    for most in (5, None):
+        assert len(catalog.wide_view(lake, "m", max_columns=most).columns) == 5
+
+
 @pytest.mark.parametrize("partitions", ["1", "3", "11"])
 def test_chunks_are_cut_alike_under_every_partitioning(spark, partitions):
     rng = random.Random(3)
