@@ -19,9 +19,13 @@ least ``percent`` / 100. The plan, one Spark job after the other:
    positional and suffix filters. Each pair is verified once, on the shared
    n-grams alone: an n-gram of one class is never in an intersection.
 
-For components, most pairs need no look: in every list, members are first
-compared with the list's leader, so a group of near copies collapses in linear
-time; then only pairs still in different components are enumerated.
+For components, most pairs need no look. Lists of more than ``LONG_LIST``
+members elect a leader, another one in each list and round, and members that
+link with it are merged, so a group of near copies collapses in a few rounds of
+linear cost. Then every pair still in different components is looked at: short
+lists whole, long ones in blocks, members outside the largest component against
+all. That number can only be large if many texts share rare n-grams without
+being linked, and no filter of this kind bounds it.
 """
 
 from __future__ import annotations
@@ -43,7 +47,8 @@ LOCAL_SHARE = 100  # a task reports n-grams found in 1 of so many of its texts
 HOT_DF = 1 << 30  # orders every hot n-gram after all others
 BLOCK = 2_000_000  # n-grams a task holds at once
 SIGNATURE_LONGS = 8  # 512 ranges of the hash space, for the suffix filter
-LEADER_ROUNDS = 2
+LONG_LIST = 16  # longer lists are merged through leaders before pairs are enumerated
+BLOCK_PAIRS = 1 << 18  # pairs a block of a long list looks at
 
 _SIGNATURE = "kind int, doc_id long, key string, n long, digest long"
 _BLOCK = "part long, hot boolean, digests binary, sizes binary, runs binary, grams binary, dfs binary"
@@ -315,7 +320,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
 
 
 def classes(docs: DataFrame, text_col: str, signed: DataFrame, percent: int, words: int) -> DataFrame:
-    """Distinct n-gram sets that may have a partner: digest, n, rare, grams.
+    """Distinct n-gram sets that may have a partner: id, digest, n, rare, grams, sig.
 
     ``grams`` has the n-grams found in other sets too, in the global order;
     ``rare`` says how many others come before them.
@@ -335,7 +340,8 @@ def classes(docs: DataFrame, text_col: str, signed: DataFrame, percent: int, wor
     by_gram = dealt.repartition(parts, "part").sortWithinPartitions("part")
     shared = by_gram.mapInArrow(_frequencies(parts), _BLOCK)
     by_class = shared.repartition(parts, "part").sortWithinPartitions("part")
-    return stored(by_class.mapInArrow(_classes(percent), _CLASS), "classes")
+    found = by_class.mapInArrow(_classes(percent), _CLASS)
+    return stored(found.select(F.monotonically_increasing_id().alias("id"), "*"), "classes")
 
 
 def prefixes(found: DataFrame, percent: int) -> DataFrame:
@@ -346,7 +352,7 @@ def prefixes(found: DataFrame, percent: int) -> DataFrame:
     """
     prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1
     rows = found.select(
-        F.struct("digest", "n").alias("id"), "n", "rare", F.size("grams").alias("shared"), "sig",
+        "id", "n", "rare", F.size("grams").alias("shared"), "sig",
         F.posexplode(F.slice("grams", F.lit(1), prefix - F.col("rare"))).alias("i", "gram"),
     )
     return rows.select("gram", "id", "n", (F.col("rare") + F.col("i")).alias("place"), "shared", "sig")
@@ -388,58 +394,118 @@ def _ordered(x: str, y: str) -> list[Column]:
 def verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs that link, with their intersection's size."""
     side = lambda name: found.select(
-        F.struct("digest", "n").alias(name), F.col("grams").alias(f"{name}_grams")
+        F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("grams").alias(f"{name}_grams")
     )
     both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     inter = F.size(F.array_intersect("a_grams", "b_grams")).alias("shared")
-    return both.select(*pairs.columns, inter).where(
-        F.col("shared") * 100 >= (F.col("a.n") + F.col("b.n") - F.col("shared")) * percent
-    )
+    return both.select(*pairs.columns, "a_n", "b_n", inter).where(
+        F.col("shared") * 100 >= (F.col("a_n") + F.col("b_n") - F.col("shared")) * percent
+    ).drop("a_n", "b_n")
+
+
+_MEMBER = ["id", "n", "place", "shared", "sig", "comp"]
 
 
-def _leader_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
+def _leader_pairs(rows: DataFrame, seed: int, percent: int) -> DataFrame:
     """Each member of a list with the list's leader, where components differ."""
-    rank = F.struct(F.xxhash64("id", F.lit(seed)), "id", "n", "place", "shared", "sig", "comp")
-    lead = lists.groupBy("gram").agg(F.min(rank).alias("l"))
-    both = lists.alias("m").join(lead, "gram").select(
-        F.struct("id", "n", "place", "shared", "sig", "comp").alias("x"), F.col("l").alias("y")
-    )
+    rank = F.struct(F.xxhash64("id", "gram", F.lit(seed)), *_MEMBER)
+    lead = rows.groupBy("gram").agg(F.min(rank).alias("y"))
+    both = rows.select("gram", F.struct(*_MEMBER).alias("x")).join(lead, "gram")
     return both.where((F.col("x.comp") != F.col("y.comp")) & passes("x", "y", percent)).select(
         *_ordered("x", "y")
     )
 
 
-def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list that are still in different components."""
-    open_lists = lists.groupBy("gram").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi")
-    ).where(F.col("lo") != F.col("hi")).select("gram")
-    rows = lists.join(open_lists, "gram")
-    row = F.struct("id", "n", "place", "shared", "sig", "comp")
+def _short_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list that are in different components, all in one task."""
+    row = F.struct(*_MEMBER)
     x, y = rows.select("gram", row.alias("x")), rows.select("gram", row.alias("y"))
-    both = x.join(y, "gram").where((F.col("x.comp") < F.col("y.comp")) & passes("x", "y", percent))
+    both = x.join(y, "gram").where(
+        (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & passes("x", "y", percent)
+    )
     return both.select(*_ordered("x", "y"))
 
 
+def _list_shapes(rows: DataFrame) -> DataFrame:
+    """gram, k, main, rest: a list's length, its largest component, and who is not in it."""
+    shares = rows.groupBy("gram", "comp").agg(F.count("*").alias("c"))
+    most = F.max(F.struct("c", "comp"))
+    return shares.groupBy("gram").agg(F.sum("c").alias("k"), most.alias("m")).select(
+        "gram", "k", F.col("m.comp").alias("main"), (F.col("k") - F.col("m.c")).alias("rest")
+    )
+
+
+def _long_pairs(rows: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list that are in different components, in blocks.
+
+    Members outside the list's largest component are dealt over blocks and meet
+    all members there, so a block has about ``BLOCK_PAIRS`` pairs to look at.
+    """
+    blocks = F.ceil(F.col("rest") * F.col("k") / F.lit(BLOCK_PAIRS)).cast("int")
+    open_lists = shapes.where("rest > 0").select("gram", "main", blocks.alias("blocks"))
+    own = rows.join(open_lists, "gram")
+    x = own.where("comp != main").select(
+        "gram", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.struct(*_MEMBER).alias("x")
+    )
+    y = own.select(
+        "gram", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "main",
+        F.struct(*_MEMBER).alias("y"),
+    )
+    once = (F.col("y.comp") == F.col("main")) | (F.col("x.id") < F.col("y.id"))
+    both = x.join(y, ["gram", "block"]).where(
+        once & (F.col("x.comp") != F.col("y.comp")) & passes("x", "y", percent)
+    )
+    return both.select(*_ordered("x", "y"))
+
+
+def _placed(rows: DataFrame, moved: DataFrame | None) -> DataFrame:
+    """Rows with their class's component; a class not in ``moved`` is its own."""
+    if moved is None:
+        return rows.withColumn("comp", F.col("id"))
+    return rows.join(moved, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def _merged(moved: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, comp) of the classes that are not their component's name."""
+    roots = stored(components.connected(links, "comp_a", "comp_b").where("id != comp"), "roots")
+    if moved is None:
+        return roots
+    to = roots.select(F.col("id").alias("comp"), F.col("comp").alias("root"))
+    earlier = moved.join(to, "comp", "left").select("id", F.coalesce("root", "comp").alias("comp"))
+    return stored(earlier.unionByName(roots), "comps")
+
+
 def link_components(found: DataFrame, percent: int) -> DataFrame:
-    """(id, comp): the component of every class that links with another."""
+    """(id, comp) of every class: its own id if it links with no other.
+
+    Leaders are elected anew in long lists until a round merges nothing or few
+    pairs are left to look at; then every pair still apart is looked at.
+    """
     rows = prefixes(found, percent)
-    lists = stored(
-        rows.join(rows.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram"), "gram"),
-        "prefixes",
+    long_lists = stored(
+        rows.groupBy("gram").agg(F.count("*").alias("k")).where(F.col("k") > LONG_LIST).select("gram"), "long-lists"
     )
-    comps = lists.select("id").distinct().withColumn("comp", F.col("id"))
-    for seed in [*range(LEADER_ROUNDS), None]:
-        state = lists.join(comps, "id")
-        pairs = _cross_pairs(state, percent) if seed is None else _leader_pairs(state, seed, percent)
+    long_rows = stored(rows.join(long_lists, "gram"), "long-rows")
+    moved, seed = None, 0
+    while True:
+        placed = _placed(long_rows, moved)
+        shapes = stored(_list_shapes(placed), "shapes")
+        left = shapes.agg(F.sum(F.col("rest") * F.col("k")).alias("pairs"), F.sum("k").alias("rows")).first()
+        if (left["pairs"] or 0) <= LONG_LIST * (left["rows"] or 0):
+            break
         # Links between two components are one edge, however many texts they tie.
-        links = verified(pairs, found, percent).select("comp_a", "comp_b").distinct()
-        roots = components.connected(links, "comp_a", "comp_b")
-        roots = roots.select(F.col("id").alias("comp"), F.col("comp").alias("root"))
-        comps = stored(
-            comps.join(roots, "comp", "left").select("id", F.coalesce("root", "comp").alias("comp")), "comps"
+        open_rows = placed.join(shapes.where("rest > 0").select("gram"), "gram", "left_semi")
+        links = stored(
+            verified(_leader_pairs(open_rows, seed, percent), found, percent).select("comp_a", "comp_b").distinct(),
+            "links",
         )
-    return comps
+        if links.isEmpty():
+            break
+        moved, seed = _merged(moved, links), seed + 1
+    short = _placed(rows.join(long_lists, "gram", "left_anti"), moved)
+    pairs = _short_pairs(short, percent).unionByName(_long_pairs(placed, shapes, percent))
+    moved = _merged(moved, verified(pairs, found, percent).select("comp_a", "comp_b").distinct())
+    return _placed(found.select("id"), moved)
 
 
 def similar_pairs(
@@ -453,23 +519,27 @@ def similar_pairs(
     gives up to k * (k - 1) / 2 rows; use :func:`near_duplicates` for groups.
     """
     found = classes(docs, text_col, signatures(docs, id_col, text_col, words), percent, words)
-    lists = prefixes(found, percent).withColumn("comp", F.col("id"))
-    return verified(_cross_pairs(lists, percent).select("a", "b"), found, percent)
+    pairs = _short_pairs(_placed(prefixes(found, percent), None), percent).select("a", "b")
+    name = lambda c: found.select(F.col("id").alias(c), F.struct("digest", "n").alias(f"{c}_class"))
+    linked = verified(pairs, found, percent).join(name("a"), "a").join(name("b"), "b")
+    return linked.select(F.col("a_class").alias("a"), F.col("b_class").alias("b"), "shared")
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, percent: int, words: int) -> DataFrame:
     """doc_id, key, n, digest, comp, component_id; no comp for rows without words."""
     signed = signatures(docs, id_col, text_col, words)
     found = classes(docs, text_col, signed, percent, words)
-    comps = link_components(found, percent).select(
-        F.col("id.digest").alias("digest"), F.col("id.n").cast("long").alias("n"), "comp"
-    )
+    comps = found.select("id", "digest", F.col("n").cast("long").alias("n")).join(
+        link_components(found, percent), "id"
+    ).drop("id")
     rows = signed.where("kind = 0").drop("kind")
+    # A set without a partner is its own component, under its digest and size.
+    lone = F.col("comp").isNull()
+    comp = F.struct(F.col("comp").alias("id"), F.when(lone, F.col("digest")).alias("digest"), F.when(lone, F.col("n")).alias("n"))
     # Per distinct set first, so copies are folded before anything is joined.
     sets = (
         rows.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("least"))
-        .join(comps, ["digest", "n"], "left")
-        .withColumn("comp", F.coalesce("comp", F.struct("digest", F.col("n").cast("int").alias("n"))))
+        .join(comps, ["digest", "n"], "left").withColumn("comp", comp)
     )
     least = sets.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_set = sets.join(least, "comp").select("digest", "n", "comp", "component_id")
