@@ -48,6 +48,7 @@ HOT_DF = 1 << 30  # orders every hot n-gram after all others
 BLOCK = 2_000_000  # n-grams a task holds at once
 SIGNATURE_LONGS = 8  # 512 ranges of the hash space, for the suffix filter
 LONG_LIST = 16  # longer lists are merged through leaders before pairs are enumerated
+WORTHWHILE = 0.7  # a round that leaves a larger share of the pairs is the last
 BLOCK_PAIRS = 1 << 18  # pairs a block of a long list looks at
 
 _SIGNATURE = "kind int, doc_id long, key string, n long, digest long"
@@ -478,20 +479,21 @@ def _merged(moved: DataFrame | None, links: DataFrame) -> DataFrame:
 def link_components(found: DataFrame, percent: int) -> DataFrame:
     """(id, comp) of every class: its own id if it links with no other.
 
-    Leaders are elected anew in long lists until a round merges nothing or few
-    pairs are left to look at; then every pair still apart is looked at.
+    Leaders are elected anew in long lists until few pairs are left to look at
+    or a round leaves most of them; then every pair still apart is looked at.
     """
     rows = prefixes(found, percent)
     long_lists = stored(
         rows.groupBy("gram").agg(F.count("*").alias("k")).where(F.col("k") > LONG_LIST).select("gram"), "long-lists"
     )
     long_rows = stored(rows.join(long_lists, "gram"), "long-rows")
-    moved, seed = None, 0
+    moved, seed, before = None, 0, None
     while True:
         placed = _placed(long_rows, moved)
         shapes = stored(_list_shapes(placed), "shapes")
         left = shapes.agg(F.sum(F.col("rest") * F.col("k")).alias("pairs"), F.sum("k").alias("rows")).first()
-        if (left["pairs"] or 0) <= LONG_LIST * (left["rows"] or 0):
+        pairs_left = left["pairs"] or 0
+        if pairs_left <= LONG_LIST * (left["rows"] or 0) or before and pairs_left > WORTHWHILE * before:
             break
         # Links between two components are one edge, however many texts they tie.
         open_rows = placed.join(shapes.where("rest > 0").select("gram"), "gram", "left_semi")
@@ -501,7 +503,7 @@ def link_components(found: DataFrame, percent: int) -> DataFrame:
         )
         if links.isEmpty():
             break
-        moved, seed = _merged(moved, links), seed + 1
+        moved, seed, before = _merged(moved, links), seed + 1, pairs_left
     short = _placed(rows.join(long_lists, "gram", "left_anti"), moved)
     pairs = _short_pairs(short, percent).unionByName(_long_pairs(placed, shapes, percent))
     moved = _merged(moved, verified(pairs, found, percent).select("comp_a", "comp_b").distinct())
