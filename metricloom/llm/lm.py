@@ -5,8 +5,11 @@ down the binary code tree of its predecessor (a Huffman tree of the corpus's
 byte pairs), so a likely byte takes few decisions. For each decision several
 predictors look up counts of zeros and ones in a hashed table, by the last two
 bytes, the last three, and the current word so far; tables hold the counts of
-all training texts but a small share, on which the weights are fitted. Their predictions are mixed in the logistic domain by
-weights that a gate selects (how much the two longer contexts have been seen),
+all training texts. Their predictions are mixed in the logistic domain by
+weights that a gate selects (how much the two longer contexts have been seen).
+The weights are fitted on all training texts too: those of each half are
+predicted from the counts of the other half, so no text has helped to predict
+itself, and copies of a text lie in one half. For scores both counts are added,
 and within a text the weights are refined online: each segment is predicted
 with weights corrected by the errors on the segments before it. The sum of the
 decisions' log probabilities is the text's; bits per byte follow.
@@ -40,7 +43,8 @@ PAD = 4  # bytes of context before a text
 SEGMENT = 256  # bytes between refinements of the weights
 REFINE_RATE, REFINE_PRIOR = 2.0, 400.0
 GATES = 16
-MIXER_BYTES = 4_000_000  # training text, about, for the initial weights and not for the tables
+HALVES = 2  # of the training texts, each fitted on the counts of the other
+PIECE = 1 << 18  # bytes whose decisions a task holds at once
 FREQUENT = 20_000
 PART = 2_000_000  # word entries a task holds at once
 SMOOTHING = 0.1
@@ -289,10 +293,12 @@ def _counting(code: Trees):
         counts = [np.zeros(2 << b, np.int32) for b in BITS]
         for batch in batches:
             batch = _training_rows(batch)
-            for chunk in chunks(batch.column("text")):
+            for chunk in chunks(batch.column("text"), PIECE):
                 d = decisions(chunk.data, chunk.offsets, code)
                 for k in range(CONTEXTS):
-                    counts[k] += np.bincount((d.slots[k] << np.uint32(1)) | d.bit, minlength=2 << BITS[k])
+                    # No array as long as the table: the slots a piece meets are few.
+                    at, n = np.unique((d.slots[k] << np.uint32(1)) | d.bit, return_counts=True)
+                    counts[k][at] += n.astype(np.int32)
         blocks = np.concatenate(counts).reshape(-1, 2 * BLOCK_SLOTS)
         used = [i for i in range(len(blocks)) if blocks[i].any()]
         yield pa.RecordBatch.from_arrays(
@@ -325,8 +331,8 @@ def _block(block: int, total: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def learned(rows: DataFrame, code: Trees) -> Tables:
-    """Predictors' tables from all training texts; their size is a constant."""
+def learned(rows: DataFrame, code: Trees) -> np.ndarray:
+    """``counts[slot, bit]`` of all tables from the training texts of ``rows``; their size is a constant."""
     blocks = FIRST[-1] // BLOCK_SLOTS
     sums = (
         rows.mapInArrow(_counting(code), "block int, counts binary")
@@ -334,16 +340,16 @@ def learned(rows: DataFrame, code: Trees) -> Tables:
         .mapInArrow(_block_sums, "block int, counts binary")
     )
     counts = np.zeros((blocks, 2 * BLOCK_SLOTS), np.int32)
-    for row in sums.toLocalIterator():
+    for row in stored(sums, "tables").toLocalIterator():
         counts[row["block"]] = np.frombuffer(row["counts"], np.int32)
-    return tables(counts.reshape(-1, 2))
+    return counts.reshape(-1, 2)
 
 
 def _fitting(code: Trees, known: Tables, start: np.ndarray):
     def run(batches):
         weights, n = start, 0
         for batch in batches:
-            for chunk in chunks(batch.column("text")):
+            for chunk in chunks(batch.column("text"), PIECE):
                 d = decisions(chunk.data, chunk.offsets, code)
                 weights = fitted(d, known, weights)
                 n += len(d.bit)
@@ -355,24 +361,28 @@ def _fitting(code: Trees, known: Tables, start: np.ndarray):
     return run
 
 
-def fitting_share(rows: DataFrame) -> float:
-    """Share of the training texts set apart for the weights, a tenth at most."""
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    return min(0.1, MIXER_BYTES / max(total, 1))
+def _added(counts: list[np.ndarray]) -> np.ndarray:
+    """Their sum, held at the largest count."""
+    total = counts[0].astype(np.int64)
+    for more in counts[1:]:
+        total += more
+    return np.minimum(total, 2**31 - 1).astype(np.int32)
 
 
-def mixer(chosen: DataFrame, code: Trees, known: Tables) -> np.ndarray:
-    """Initial weights by gate, fitted on texts the tables have not counted.
+def mixer(halves: list[DataFrame], counts: list[np.ndarray], code: Trees) -> np.ndarray:
+    """Initial weights by gate, fitted on every training text.
 
-    About ``MIXER_BYTES`` of text, whatever the corpus; tasks' weights are
-    averaged by the decisions they saw.
+    The texts of a half are predicted from the counts of the others. Each task
+    fits its own texts, and tasks' weights are averaged by the decisions they saw.
     """
     weights = np.full((CONTEXTS, GATES), 0.4, np.float32)
-    done = chosen.coalesce(4).mapInArrow(_fitting(code, known, weights), "weights binary, n long").collect()
-    if done:
-        each = np.stack([np.frombuffer(r["weights"], np.float32).reshape(CONTEXTS, GATES) for r in done])
-        weights = np.average(each, 0, [r["n"] for r in done]).astype(np.float32)
-    return weights
+    total, n = np.zeros((CONTEXTS, GATES)), 0
+    for i, half in enumerate(halves):
+        known = tables(_added(counts[:i] + counts[i + 1 :]))
+        for r in half.mapInArrow(_fitting(code, known, weights), "weights binary, n long").collect():  # 200 bytes a task
+            total += np.frombuffer(r["weights"], np.float32).reshape(CONTEXTS, GATES) * float(r["n"])
+            n += r["n"]
+    return (total / n).astype(np.float32) if n else weights
 
 
 def _words(chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -516,7 +526,7 @@ def _scoring(code: Trees, known: Tables, weights: np.ndarray, hot: np.ndarray, c
             n = batch.num_rows
             tokens, hot_known, hot_total = np.ones(n, np.int64), np.full(n, int(counts[-1] > 0)), np.full(n, logs[-1])
             size, score = np.zeros(n, np.int64), np.zeros(n)
-            for chunk in chunks(batch.column("text")):
+            for chunk in chunks(batch.column("text"), PIECE):
                 own = slice(chunk.first, chunk.first + chunk.size)
                 hashes, words = _words(chunk)
                 text = np.repeat(np.arange(chunk.size), np.diff(words))
@@ -555,9 +565,10 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), (fold != 0).alias("train"), text.alias("text")
     )
     code, hot = surveyed(rows)
-    apart = F.pmod(F.xxhash64("doc_id", "h"), F.lit(1_000_000)) < int(fitting_share(rows) * 1_000_000)
-    known = learned(rows.withColumn("train", F.col("train") & ~apart), code)
-    weights = mixer(rows.where(F.col("train") & apart), code, known)
+    halves = [rows.where(F.col("train") & (F.pmod(F.col("h"), F.lit(HALVES)) == i)) for i in range(HALVES)]
+    parts = [learned(half, code) for half in halves]
+    weights = mixer(halves, parts, code)
+    known = tables(_added(parts))
     tallies = rows.mapInArrow(_hot_counts(hot), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(len(hot) + 1, np.int64)
     words = 0
