@@ -33,7 +33,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from metricloom.llm.common import stored
-from metricloom.llm.hashing import LOWER, U, Substrings, chunks, mix, pack, word_bounds
+from metricloom.llm.hashing import IS_SPACE, LOWER, U, Substrings, chunks, mix, pack, word_bounds
 
 BITS = (18, 20, 22)  # log2 of the slots of each predictor's table
 CONTEXTS = len(BITS)
@@ -44,7 +44,7 @@ SEGMENT = 256  # bytes between refinements of the weights
 REFINE_RATE, REFINE_PRIOR = 2.0, 400.0
 GATES = 16
 HALVES = 2  # of the training texts, each fitted on the counts of the other
-PIECE = 1 << 18  # bytes whose decisions a task holds at once
+PIECE = 1 << 15  # bytes whose decisions a task holds at once, so they stay in a core's cache
 FREQUENT = 20_000
 PART = 2_000_000  # word entries a task holds at once
 SMOOTHING = 0.1
@@ -114,26 +114,43 @@ def decisions(data: np.ndarray, offsets: np.ndarray, code: Trees) -> Decisions:
     text, start = padded(data, offsets)
     sizes = np.diff(offsets) + 1
     texts = np.r_[0, np.cumsum(sizes)]
-    at = np.arange(texts[-1]) + np.repeat(start - texts[:-1], sizes)
+    # All places after the first few are worked on; those between texts take no decision.
     wide = text.astype(np.uint32)
-    last1, last2 = wide[at - 1], wide[at - 2]
-    two = last1 | last2 << np.uint32(8)
-    three = two | wide[at - 3] << np.uint32(16)
-    space = (text == 32) | ((text >= 9) & (text <= 13)) | (text == 0)
-    word = np.maximum.accumulate(np.where(space, np.arange(len(text)) + 1, 0))
-    begin = np.minimum(word[at - 1], at)
-    so_far = (Substrings(text)(begin, at) >> U(32)).astype(np.uint32)
-    contexts = [two * _M[0], three * _M[1], so_far ^ (last1 * _M[2])]
-    symbol = (last1 << np.uint32(8)) | wide[at]
-    length = code.length[symbol]
+    last1 = wide[PAD - 1 : -1]
+    two = wide[PAD - 2 : -2] << np.uint32(8)
+    two |= last1
+    three = wide[PAD - 3 : -3] << np.uint32(16)
+    three |= two
+    space = IS_SPACE[text]
+    space |= text == 0
+    begin = np.arange(1, len(text) + 1)
+    begin *= space
+    begin = np.maximum.accumulate(begin, out=begin)[PAD - 1 : -1]
+    so_far = (Substrings(text)(begin, np.arange(PAD, len(text))) >> U(32)).astype(np.uint32)
+    so_far ^= last1 * _M[2]
+    contexts = [two * _M[0], three * _M[1], so_far]
+    symbol = last1 << np.uint32(8)
+    symbol |= wide[PAD:]
+    length = code.length.take(symbol)
+    for k in range(PAD):
+        length[start[1:] - 2 * PAD + k] = 0
     ends = np.cumsum(length, dtype=np.int64)
-    flat = np.repeat(code.start[symbol] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-    node = code.node[flat] * _M[0]
+    owner = np.repeat(np.arange(len(length)), length)
+    flat = (code.start.take(symbol) - (ends - length)).take(owner)
+    flat += np.arange(len(owner))
+    at = np.arange(texts[-1]) + np.repeat(start - PAD - texts[:-1], sizes)
+    ends = ends.take(at)
+    node = code.node.take(flat)
+    node *= _M[0]
     slots = []
     for k, context in enumerate(contexts):
-        mixed = (context ^ (context >> np.uint32(15))) * _M[(k + 1) % 3]
-        slots.append(((np.repeat(mixed, length) + node) * _M[k] ^ node) >> np.uint32(32 - BITS[k]))
-    return Decisions(slots, code.bit[flat], ends, texts)
+        slot = ((context ^ (context >> np.uint32(15))) * _M[(k + 1) % 3]).take(owner)
+        slot += node
+        slot *= _M[k]
+        slot ^= node
+        slot >>= np.uint32(32 - BITS[k])
+        slots.append(slot.astype(np.intp))
+    return Decisions(slots, code.bit.take(flat), ends, texts)
 
 
 @dataclass
@@ -156,19 +173,28 @@ def tables(counts: np.ndarray) -> Tables:
 
 
 def _inputs(d: Decisions, known: Tables) -> tuple[list[np.ndarray], np.ndarray]:
-    gate = known.seen[1][d.slots[1]] * np.uint8(4) + known.seen[2][d.slots[2]]
-    return [s[i] for s, i in zip(known.stretch, d.slots, strict=True)], gate
+    gate = known.seen[1].take(d.slots[1])
+    gate *= np.uint8(4)
+    gate += known.seen[2].take(d.slots[2])
+    return [s.take(i) for s, i in zip(known.stretch, d.slots, strict=True)], gate.astype(np.intp)
 
 
 def _mixed(inputs: list[np.ndarray], gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    z = weights[0][gate] * inputs[0]
+    z = weights[0].take(gate)
+    z *= inputs[0]
     for k in range(1, CONTEXTS):
-        z += weights[k][gate] * inputs[k]
+        own = weights[k].take(gate)
+        own *= inputs[k]
+        z += own
     return z
 
 
-def _squash(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-z))
+def _error(bit: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Bits less their predicted chances."""
+    chance = np.exp(-np.clip(z, -30, 30))
+    chance += 1
+    np.reciprocal(chance, out=chance)
+    return np.subtract(bit, chance, out=chance)
 
 
 def log_probabilities(d: Decisions, known: Tables, weights: np.ndarray) -> np.ndarray:
@@ -187,18 +213,22 @@ def log_probabilities(d: Decisions, known: Tables, weights: np.ndarray) -> np.nd
     cut = np.where(begin > 0, d.ends[begin - 1], 0)
     spans = np.diff(np.r_[cut, d.ends[-1]])
     if (per > 1).any():
-        error = d.bit - _squash(z)
+        error = _error(d.bit, z)
+        segment = np.repeat(np.arange(len(spans)), spans)
         before = lambda x: np.r_[0, np.cumsum(x)[:-1]]
         earlier = before(spans)
         earlier = earlier - earlier[first[owner]]
         for k in range(CONTEXTS):
             gradient = before(np.add.reduceat(error * inputs[k], cut).astype(np.float64))
             gradient -= gradient[first[owner]]
-            step = (REFINE_RATE * gradient / (REFINE_PRIOR + earlier)).astype(np.float32)
-            z += np.repeat(step, spans) * inputs[k]
-    sign = d.bit.astype(np.float32) * 2 - 1
-    chances = -np.log1p(np.exp(-np.clip(z * sign, -30, 30)))
-    return np.add.reduceat(np.add.reduceat(chances.astype(np.float64), cut), first[:-1])
+            step = (REFINE_RATE * gradient / (REFINE_PRIOR + earlier)).astype(np.float32).take(segment)
+            step *= inputs[k]
+            z += step
+    z *= 1 - 2 * d.bit.astype(np.float32)
+    # log(1 + x) by its series where 1 + x would lose x, else by the logarithm, much faster than log1p.
+    odds = np.exp(np.clip(z, -30, 30, out=z), out=z)
+    chances = np.where(odds < 1e-3, odds - odds * odds / 2, np.log(odds + 1))
+    return -np.add.reduceat(np.add.reduceat(chances, cut, dtype=np.float64), first[:-1])
 
 
 def fitted(d: Decisions, known: Tables, weights: np.ndarray, rate: float = 0.02, step: int = 4096) -> np.ndarray:
@@ -208,7 +238,7 @@ def fitted(d: Decisions, known: Tables, weights: np.ndarray, rate: float = 0.02,
     for i in range(0, len(d.bit), step):
         own = slice(i, i + step)
         xs = [x[own] for x in inputs]
-        error = d.bit[own] - _squash(_mixed(xs, gate[own], weights))
+        error = _error(d.bit[own], _mixed(xs, gate[own], weights))
         for k in range(CONTEXTS):
             weights[k] += rate * np.bincount(gate[own], error * xs[k], GATES).astype(np.float32) / 16
     return weights
@@ -287,7 +317,11 @@ def _word_sums(batches):
 
 
 def _counting(code: Trees):
-    """Counts of zeros and ones of each predictor's slots, in blocks, once a task."""
+    """Counts of zeros and ones of each predictor's slots, in blocks, once a task.
+
+    A block has the places that the task met and their counts, so what is sent
+    follows the text of small tasks, and is a few tables' size for large ones.
+    """
 
     def run(batches):
         counts = [np.zeros(2 << b, np.int32) for b in BITS]
@@ -296,15 +330,20 @@ def _counting(code: Trees):
             for chunk in chunks(batch.column("text"), PIECE):
                 d = decisions(chunk.data, chunk.offsets, code)
                 for k in range(CONTEXTS):
-                    # No array as long as the table: the slots a piece meets are few.
-                    at, n = np.unique((d.slots[k] << np.uint32(1)) | d.bit, return_counts=True)
-                    counts[k][at] += n.astype(np.int32)
-        blocks = np.concatenate(counts).reshape(-1, 2 * BLOCK_SLOTS)
-        used = [i for i in range(len(blocks)) if blocks[i].any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array([pack(blocks[i], np.int32) for i in used], pa.binary())],
-            ["block", "counts"],
-        )
+                    at = d.slots[k] * 2
+                    at += d.bit
+                    np.add.at(counts[k], at, np.int32(1))
+        for k in range(CONTEXTS):
+            for i, own in enumerate(counts[k].reshape(-1, 2 * BLOCK_SLOTS), FIRST[k] // BLOCK_SLOTS):
+                at = np.flatnonzero(own)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([i], pa.int32()), pa.array([pack(at, np.uint16)], pa.binary()),
+                            pa.array([pack(own[at], np.int32)], pa.binary()),
+                        ],
+                        ["block", "at", "counts"],
+                    )
 
     return run
 
@@ -312,14 +351,13 @@ def _counting(code: Trees):
 def _block_sums(batches):
     block, total = None, None
     for batch in batches:
-        for row in batch.to_pylist():
-            own = np.frombuffer(row["counts"], np.int32).astype(np.int64)
-            if row["block"] != block:
+        for i in range(batch.num_rows):
+            number, at, counts = (c[i].as_py() for c in batch.columns)
+            if number != block:
                 if block is not None:
                     yield _block(block, total)
-                block, total = row["block"], own
-            else:
-                total = total + own
+                block, total = number, np.zeros(2 * BLOCK_SLOTS, np.int64)
+            total[np.frombuffer(at, np.uint16)] += np.frombuffer(counts, np.int32)
     if block is not None:
         yield _block(block, total)
 
@@ -335,7 +373,7 @@ def learned(rows: DataFrame, code: Trees) -> np.ndarray:
     """``counts[slot, bit]`` of all tables from the training texts of ``rows``; their size is a constant."""
     blocks = FIRST[-1] // BLOCK_SLOTS
     sums = (
-        rows.mapInArrow(_counting(code), "block int, counts binary")
+        rows.mapInArrow(_counting(code), "block int, at binary, counts binary")
         .repartition(blocks, "block").sortWithinPartitions("block")
         .mapInArrow(_block_sums, "block int, counts binary")
     )
@@ -449,11 +487,15 @@ def _dealt(hot: np.ndarray, parts: int):
     return run
 
 
-_PARTIAL = "kind int, doc_id long, h long, total double, known long, n long"
+_PARTIAL = "dest int, ids binary, keys binary, nulls binary, total binary, known binary, types long, tokens long"
 
 
-def _looked_up(batches):
-    """Sums over each text's entries (kind 0), and tokens and types of a part (1)."""
+def _looked_up(dests: int):
+    """Sums over each text's entries in a part, packed by where texts are summed.
+
+    A text has a sum in each part that has a word of it, so these go on packed
+    and are not rows. A row without ``dest`` has a part's types and tokens.
+    """
 
     def close(rows):
         read = lambda name, kind: [np.frombuffer(r[name], kind) for r in rows]
@@ -462,29 +504,71 @@ def _looked_up(batches):
         nulls, train = np.concatenate(read("nulls", np.bool_)), np.concatenate(read("train", np.bool_))
         times = np.concatenate(read("times", np.int32)).astype(np.int64)
         hashes, inverse = np.unique(np.concatenate(read("hashes", np.uint64)), return_inverse=True)
-        count = np.bincount(inverse, np.where(np.repeat(train, runs), times, 0), len(hashes))[inverse]
+        count = np.bincount(inverse, np.where(np.repeat(train, runs), times, 0), len(hashes))
+        types = int((count > 0).sum())
+        count = count[inverse]
         at = np.cumsum(runs) - runs
         total = np.add.reduceat(times * np.log10(count + SMOOTHING), at)
         known = np.add.reduceat(np.where(count > 0, times, 0), at)
-        k = len(ids)
-        types = len(np.unique(inverse[count > 0]))
         tokens = int(times[np.repeat(train, runs)].sum())
+        dest = (((mix(keys.view(np.uint64) ^ mix(ids.view(np.uint64))) >> U(32)) * U(dests)) >> U(32)).astype(np.int32)
+        order = np.argsort(dest, kind="stable")
+        bounds = np.searchsorted(dest[order], np.arange(dests + 1))
+        names = [f.split()[0] for f in _PARTIAL.split(", ")]
+        for d in np.unique(dest).tolist():
+            own = order[bounds[d] : bounds[d + 1]]
+            values = [
+                pack(ids[own], np.int64), pack(keys[own], np.int64), pack(nulls[own], np.bool_),
+                pack(total[own], np.float64), pack(known[own], np.int64),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d], pa.int32()), *[pa.array([v], pa.binary()) for v in values], *[pa.array([0], pa.int64())] * 2], names
+            )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.int32()), *[pa.array([b""], pa.binary())] * 5, pa.array([types]), pa.array([tokens])], names
+        )
+
+    def run(batches):
+        part, rows = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if rows and row["part"] != part:
+                    yield from close(rows)
+                    rows = []
+                part = row["part"]
+                rows.append(row)
+        if rows:
+            yield from close(rows)
+
+    return run
+
+
+def _text_sums(batches):
+    """``doc_id, h, total, known`` of each text, from all its parts' sums."""
+
+    def close(rows):
+        ids, keys, nulls, total, known = (
+            np.concatenate([np.frombuffer(r[name], kind) for r in rows])
+            for name, kind in (("ids", np.int64), ("keys", np.int64), ("nulls", np.bool_), ("total", np.float64), ("known", np.int64))
+        )
+        order = np.lexsort((nulls, keys, ids))
+        ids, keys, nulls = ids[order], keys[order], nulls[order]
+        new = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | (nulls[1:] != nulls[:-1])])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([0] * k + [1], pa.int32()), pa.array(np.r_[ids, 0], mask=np.r_[nulls, True]),
-                pa.array(np.r_[keys, 0]), pa.array(np.r_[total, 0.0]), pa.array(np.r_[known, types]),
-                pa.array(np.r_[np.ones(k, np.int64), tokens]),
+                pa.array(ids[new], mask=nulls[new]), pa.array(keys[new]),
+                pa.array(np.add.reduceat(total[order], new)), pa.array(np.add.reduceat(known[order], new)),
             ],
-            ["kind", "doc_id", "h", "total", "known", "n"],
+            ["doc_id", "h", "total", "known"],
         )
 
-    part, rows = None, []
+    dest, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            if rows and row["part"] != part:
+            if rows and row["dest"] != dest:
                 yield from close(rows)
                 rows = []
-            part = row["part"]
+            dest = row["dest"]
             rows.append(row)
     if rows:
         yield from close(rows)
@@ -580,15 +664,18 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     parts = max(1, -(-words // (2 * PART)))
     partial = stored(
         rows.mapInArrow(_dealt(hot, parts), _ENTRY).repartition(parts, "part").sortWithinPartitions("part")
-        .mapInArrow(_looked_up, _PARTIAL),
+        .mapInArrow(_looked_up(parts), _PARTIAL),
         "words",
     )
-    rare = partial.where("kind = 1").agg(
-        F.coalesce(F.sum("known"), F.lit(0)).alias("types"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")
+    rare = partial.where("dest is null").agg(
+        F.coalesce(F.sum("types"), F.lit(0)).alias("types"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")
     ).first()
     total = int(counts.sum()) + rare["tokens"]
     types = int((counts > 0).sum()) + rare["types"]
-    sums = partial.where("kind = 0").groupBy("doc_id", "h").agg(F.sum("total").alias("total"), F.sum("known").alias("known"))
+    sums = (
+        partial.where("dest is not null").repartition(parts, "dest").sortWithinPartitions("dest")
+        .mapInArrow(_text_sums, "doc_id long, h long, total double, known long")
+    )
     done = stored(rows.mapInArrow(_scoring(code, known, weights, hot, counts), _SCORED), "scored")
     # Rows that repeat an id and text have added to the same sums.
     on = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.h") == F.col(f"{b}.h"))
