@@ -40,10 +40,13 @@ def field_kind(variant: Column) -> Column:
     The type is read before any cast, because a cast would also turn true
     into 1.0 and the text "7" into 7.0.
     """
-    shape = F.schema_of_variant(variant)
-    return F.when(shape.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(NUMBER)).when(
-        shape == "STRING", F.lit(TEXT)
-    )
+    return shape_kind(F.schema_of_variant(variant))
+
+
+def shape_kind(shape: Column) -> Column:
+    """``field_kind`` of a variant by its schema."""
+    number = shape.isin("BIGINT", "DOUBLE", "FLOAT") | shape.startswith("DECIMAL")
+    return F.when(number, F.lit(NUMBER)).when(shape == "STRING", F.lit(TEXT))
 
 
 def field_number(variant: Column) -> Column:

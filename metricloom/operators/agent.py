@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from metricloom import fixed
 from metricloom.functions import identity, labels as L, names, values
-from metricloom.operators.batch import Batch, distinct_series, rejects
+from metricloom.operators.batch import Batch, SERIES_IDENTITY, labelled
 from metricloom.sources.remote import CORRUPT
 
 SOURCE = "agent"
 
+# What ``identity.agent_origin`` writes in the exact mode.
+HELD = f"name string, tags {L.PAIRS}, source string"
+
 
 def explode_metrics(batches: DataFrame) -> DataFrame:
     """One row per measurement of each batch, plus one per malformed batch."""
@@ -54,13 +57,19 @@ def route_fields(fields: DataFrame) -> DataFrame:
         .when(~timed, F.lit("timestamp_range"))
         .when(kind.isNull(), F.lit("field_type"))
     )
-    number = F.when(kind == values.NUMBER, values.field_number(v))
-    return fields.withColumn("kind", F.when(timed, values.field_kind(v))).withColumns(
-        {
-            "reason": reason,
-            "value": values.finite_or_null(number),
-            "text": F.when(kind == values.TEXT, values.field_text(v)),
-        }
+    # A step's result is looked at several times by the next one, and made once.
+    return (
+        fields.withColumn("shape", F.when(timed, F.schema_of_variant(v)))
+        .withColumn("kind", values.shape_kind(F.col("shape")))
+        .withColumns(
+            {
+                "reason": reason,
+                "value": F.when(kind == values.NUMBER, values.field_number(v)),
+                "text": F.when(kind == values.TEXT, values.field_text(v)),
+            }
+        )
+        .withColumn("value", values.finite_or_null(F.col("value")))
+        .drop("shape")
     )
 
 
@@ -68,82 +77,98 @@ def identify_fields(metrics: DataFrame, key_mode: str = "exact") -> DataFrame:
     """Typed field rows of measurements, named and keyed.
 
     Names, tags and the shared part of the key are made once per measurement,
-    before its fields are exploded.
+    before its fields are exploded. A row has its tags as the text ``held``,
+    which also is what an exact key hashes: labels are only made of it for the
+    distinct series and for rejects, see ``batch_of``. A rejected row has what
+    it held as ``text``.
     """
     pairs = F.arrays_zip(
         names.escape_agent_tags(F.map_keys("tags")).alias("name"),
         F.transform(F.map_values("tags"), lambda v: F.coalesce(v, F.lit(""))).alias("value"),
     ).cast(L.PAIRS)
-    reserved = [fixed.SOURCE_TAG, fixed.FIELD_TAG]
+    held = identity.agent_origin(F.col("name"), F.col("tags"), F.col("folded"), F.col("srcip"))
     named = (
         metrics.withColumn("pairs", F.coalesce(pairs, F.array().cast(L.PAIRS)))
         .withColumn("folded", L.entries(F.col("pairs")))
-        .withColumns(
-            {
-                "metric": names.escape_agent_table(F.col("name")),
-                "origin": identity.agent_origin(
-                    F.col("name"), F.col("tags"), F.col("folded"), F.col("srcip"), key_mode
-                ),
-                "stored": F.concat(
-                    F.transform(
-                        F.filter("folded", lambda p: ~p["name"].isin(*reserved)),
-                        lambda p: L.pair(
-                            p["name"],
-                            names.truncate_bytes(p["value"], fixed.AGENT_TAG_VALUE_BYTES),
-                        ),
-                    ),
-                    F.array(L.pair(F.lit(fixed.SOURCE_TAG), F.col("srcip"))),
-                ),
-            }
-        )
-        .drop("pairs", "folded", "tags")
-    )
-    field_tag = F.array(L.pair(F.lit(fixed.FIELD_TAG), F.col("field")))
-    payload = F.coalesce(
-        F.col("corrupt"),
-        F.to_json(
-            F.struct(
-                "name",
-                F.map_from_entries("stored").alias("tags"),
-                "field",
-                F.to_json("v").alias("value"),
-                "timestamp",
-            )
-        ),
+        .withColumns({"metric": names.escape_agent_table(F.col("name")), "held": held})
     )
+    if key_mode != "exact":
+        named = named.withColumn(
+            "origin",
+            identity.agent_origin(F.col("name"), F.col("tags"), F.col("folded"), F.col("srcip"), key_mode),
+        )
+    origin = F.col("held" if key_mode == "exact" else "origin")
+    named = named.drop("pairs", "folded", "tags", "srcip")
     return route_fields(explode_fields(named)).select(
-        F.lit(SOURCE).alias("source"),
         "kind",
         "metric",
-        F.col("name").alias("metric_raw"),
-        identity.agent_series_key(F.col("origin"), F.col("field"), key_mode).alias(
-            "series_key"
-        ),
-        F.lit(None).cast("string").alias("taghash"),
-        F.concat("stored", field_tag).alias("entries"),
-        values.to_ts(F.col("timestamp")).alias("ts"),
+        identity.agent_series_key(origin, F.col("field"), key_mode).alias("series_key"),
+        "held",
+        "field",
+        "timestamp",
         "value",
-        "text",
+        F.when(F.col("reason").isNull(), F.col("text")).otherwise(F.coalesce("corrupt", F.to_json("v"))).alias("text"),
         "reason",
-        F.when(F.col("reason").isNotNull(), payload).alias("payload"),
+    )
+
+
+def _stored(rows: DataFrame) -> DataFrame:
+    """``rows`` with the ``name`` they came under and ``stored``, their series' tags but for the field's."""
+    reserved = [fixed.SOURCE_TAG, fixed.FIELD_TAG]
+    tags = F.transform(
+        F.filter("parts.tags", lambda p: ~p["name"].isin(*reserved)),
+        lambda p: L.pair(p["name"], names.truncate_bytes(p["value"], fixed.AGENT_TAG_VALUE_BYTES)),
+    )
+    return rows.withColumn("parts", F.from_json("held", HELD)).withColumns(
+        {
+            "name": F.col("parts.name"),
+            "stored": F.concat(tags, F.array(L.pair(F.lit(fixed.SOURCE_TAG), F.col("parts.source")))),
+        }
+    )
+
+
+def _series(rows: DataFrame, keep_first: bool) -> DataFrame:
+    """Series of identified fields, see ``batch.distinct_series``; labels are made once for each."""
+    found = _stored(rows.select("kind", "metric", "series_key", "held", "field").distinct())
+    field_tag = F.array(L.pair(F.lit(fixed.FIELD_TAG), F.col("field")))
+    made = {
+        "source": F.lit(SOURCE),
+        "metric_raw": F.col("name"),
+        "taghash": F.lit(None).cast("string"),
+        "entries": F.concat("stored", field_tag),
+    }
+    return labelled(found.withColumns(made).select(*SERIES_IDENTITY, "entries"), keep_first)
+
+
+def _rejected(rows: DataFrame) -> DataFrame:
+    """Rejects of identified fields: a malformed batch with its text, a field with what it held."""
+    field = F.to_json(
+        F.struct(
+            "name",
+            F.map_from_entries("stored").alias("tags"),
+            "field",
+            F.col("text").alias("value"),
+            "timestamp",
+        )
+    )
+    return _stored(rows.where(F.col("reason").isNotNull())).select(
+        F.lit(SOURCE).alias("source"),
+        "reason",
+        F.when(F.col("field").isNull(), F.col("text")).otherwise(field).alias("payload"),
     )
 
 
 def batch_of(rows: DataFrame, key_mode: str = "exact") -> Batch:
     """Numeric and text points, series and rejects of identified fields."""
-    kind = F.col("kind")
+    kind, ts = F.col("kind"), values.to_ts(F.col("timestamp")).alias("ts")
     return Batch(
         rows=rows,
-        points=rows.where(kind == values.NUMBER).select(
-            "metric", "series_key", "ts", "value"
-        ),
+        points=rows.where(kind == values.NUMBER).select("metric", "series_key", ts, "value"),
         text_points=rows.where(kind == values.TEXT).select(
-            "metric", "series_key", "ts", F.col("text").alias("value")
-        ),
-        series=distinct_series(
-            rows.where(kind.isNotNull()), keep_first=key_mode == "compat"
+            "metric", "series_key", ts, F.col("text").alias("value")
         ),
-        rejected=rejects(rows),
+        series=_series(rows.where(kind.isNotNull()), keep_first=key_mode == "compat"),
+        rejected=_rejected(rows),
         counts={
             "points": F.count_if(kind == values.NUMBER),
             "text_points": F.count_if(kind == values.TEXT),

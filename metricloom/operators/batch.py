@@ -33,7 +33,11 @@ def distinct_series(rows: DataFrame, keep_first: bool = False) -> DataFrame:
     decide the labels, so that is enough; compat keys can be shared by several
     label sets, and ``keep_first`` then keeps one row per key.
     """
-    found = rows.select(*SERIES_IDENTITY, "entries").distinct()
+    return labelled(rows.select(*SERIES_IDENTITY, "entries").distinct(), keep_first)
+
+
+def labelled(found: DataFrame, keep_first: bool = False) -> DataFrame:
+    """Distinct identities and their ``entries`` as series, see ``distinct_series``."""
     if keep_first:
         rest = [c for c in found.columns if c not in ("kind", "metric", "series_key")]
         found = (

@@ -27,9 +27,11 @@ _lakes: dict[tuple[str, str], Lake] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of one file and row group, dealt out to all cores."""
+    """A table, dealt out to all cores when it is read in fewer pieces than there are."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    pieces = rows._jdf.queryExecution().toRdd().getNumPartitions()
+    return rows if pieces >= cores else rows.repartition(cores)
 
 
 def _label(name: str, value: Column) -> Column:

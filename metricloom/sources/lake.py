@@ -37,12 +37,17 @@ from metricloom.sources import files
 GRAINS = ("day", "month")
 LONGEST_PERIOD_DAYS = 31
 
+# The day of year 1 on which times that can be stored begin, from 1970.
+FIRST_DAY = -719_162
+
 # A key row is about 150 bytes, so this is some 30 MB at most.
 BROADCAST_SERIES = 200_000
 
 # Buckets of registered series, part of the layout.
 SERIES_BUCKETS = 64
 
+NO_STATISTICS = {"parquet.column.statistics.enabled": "false", "parquet.size.statistics.enabled": "false"}
+
 # Batch id of what a compaction wrote; batches written by streams start at 0.
 COMPACTED = -1
 
@@ -158,7 +163,8 @@ class Lake:
     def stage(self, rows: DataFrame, stream: str, batch_id: int) -> DataFrame:
         """``rows`` written to the batch's staging table and read back."""
         path = f"{self.root}/_staging/stream={stream}/batch_id={batch_id}"
-        rows.write.mode("overwrite").parquet(path)
+        # Whole columns are read back, so nothing looks at their statistics.
+        rows.write.mode("overwrite").options(**NO_STATISTICS).parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def unstage(self, stream: str, batch_id: int | None = None) -> None:
@@ -210,13 +216,13 @@ class Lake:
     ) -> None:
         day = utc_day(F.col("ts"))
         period = F.trunc(day, "month") if self.grain == "month" else day
-        self._overwrite(
-            points.withColumn("period", period),
-            place,
-            (*above, "period", "metric"),
-            (*above, "period", "metric", "ts", "series_key"),
-            (*above, "period", "metric"),
-        )
+        dirs = [*above, "period", "metric"]
+        placed = points.withColumn("period", period).hint("rebalance", *dirs).withColumn("place", _place_in_time())
+        # One number in the order of directories and of time is sorted digit by
+        # digit; the sort by directory then finds runs and compares few rows. The
+        # filter, which all rows pass, keeps the first one from being optimised away.
+        ordered = placed.sortWithinPartitions("place").where(F.monotonically_increasing_id() >= 0)
+        self._write(ordered.sortWithinPartitions(*dirs, "place").drop("place"), place, tuple(dirs))
 
     def _overwrite(
         self,
@@ -233,6 +239,9 @@ class Lake:
         out = df.hint("rebalance", *rebalance_by)
         if sort_by:
             out = out.sortWithinPartitions(*sort_by)
+        self._write(out, place, partition_by)
+
+    def _write(self, out: DataFrame, place: str, partition_by: tuple[str, ...]) -> None:
         writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -278,6 +287,22 @@ def utc_day(ts: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
 
 
+def _place_in_time() -> Column:
+    """Number of a point that orders by ``period``, a hash of ``metric`` and ``ts``.
+
+    22 bits for the day a period begins with, from year 1 to 9999, 9 for the
+    hash and 32 for the time since, in ms, of a month at most. It is in order
+    of time within a directory, which is all that the order of files needs.
+    """
+    begins = F.unix_date("period").cast("bigint")
+    since = F.unix_millis("ts") - begins * 86_400_000
+    return (
+        F.shiftleft(begins - F.lit(FIRST_DAY), 41)
+        .bitwiseOR(F.shiftleft(F.pmod(F.xxhash64("metric"), F.lit(512)), 32))
+        .bitwiseOR(since)
+    )
+
+
 def in_period(lo: Column, hi: Column) -> Column:
     """Partition predicate that holds for every point with ``lo <= ts <= hi``.
 
